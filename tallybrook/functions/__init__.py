@@ -1,14 +1,15 @@
 """Column functions."""
 
-from tallybrook.functions.documents import as_text, json_document, json_fault
+from tallybrook.functions.documents import as_text, header_text, is_document, json_values
 from tallybrook.functions.text import first_number, in_words, parsed_date, text_year
 
 __all__ = [
     "as_text",
     "first_number",
+    "header_text",
     "in_words",
-    "json_document",
-    "json_fault",
+    "is_document",
+    "json_values",
     "parsed_date",
     "text_year",
 ]

@@ -14,40 +14,27 @@ def as_text(value: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def _wrapped(text: Column) -> Column:
-    """``[text]`` parsed as an array, NULL if it does not parse."""
+def json_values(text: Column) -> Column:
+    """The values of the JSON array ``[text]``, NULL if that does not parse."""
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
 
 
-def _only_document(text: Column) -> Column:
-    """True iff ``text`` is exactly one JSON object.
+def is_document(text: Column, values: Column) -> Column:
+    """True iff ``text`` is exactly one JSON object; ``values`` are its ``json_values``.
 
-    The parser ignores what follows a complete value, so the text is wrapped:
+    The parser ignores what follows a complete value, so the text was wrapped:
     in ``[text]`` a trailing text breaks the array or makes it longer, unless the
     text closes the array itself with a bracket after the object. Only a text
     with ``}`` before ``]`` can do that; it is also tried as ``{"v":text}``,
     which such a bracket breaks.
     """
-    values = _wrapped(text)
     alone = (F.size(values) == 1) & F.get(values, 0).try_cast(_OBJECT).isNotNull()
     fields = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).try_cast(_OBJECT)
     closed = ~text.rlike(r"\}\s*\]") | (F.size(F.map_keys(fields)) == 1)
     return F.coalesce(alone & closed, F.lit(False))
 
 
-def json_document(text: Column) -> Column:
-    """The object in ``text`` as VARIANT; meant for text without a :func:`json_fault`."""
-    return F.try_parse_json(text)
-
-
-def json_fault(value: Column) -> Column:
-    """Why the bytes are not a storable document, or NULL if they are one.
-
-    Needs ``spark.sql.variant.allowDuplicateKeys`` for repeated keys.
-    """
-    text = as_text(value)
-    return (
-        F.when(value.isNull(), "no value")
-        .when(text.isNull(), "not UTF-8 text")
-        .when(~_only_document(text), "not a JSON object")
-    )
+def header_text(headers: Column, name: str) -> Column:
+    """The last message header of that name as text."""
+    named = F.filter(headers, lambda header: header["key"] == name)
+    return F.get(named, F.size(named) - 1)["value"].cast("string")

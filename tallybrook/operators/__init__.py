@@ -9,7 +9,7 @@ from tallybrook.operators.aggregates import (
 )
 from tallybrook.operators.filters import flagged_detail, size_at_least, size_in_form
 from tallybrook.operators.joins import join_shared_key
-from tallybrook.operators.layout import spread
+from tallybrook.operators.layout import partition_count, spread
 from tallybrook.operators.preview import preview
 from tallybrook.operators.windows import add_growth, even_slices, number_rows
 
@@ -20,6 +20,7 @@ __all__ = [
     "flagged_per_year",
     "join_shared_key",
     "number_rows",
+    "partition_count",
     "per_invoice",
     "preview",
     "rows_per_partition",

@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, at_least: int) -> DataFrame:
-    """Round-robin over ``at_least`` partitions, never over fewer than ``df`` has.
+def partition_count(df: DataFrame) -> int:
+    """Physical partitions of ``df``. Meant for scans: a frame with shuffles would run them."""
+    return df.rdd.getNumPartitions()
 
-    A fixed small number would squeeze a large table into a few tasks.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows evenly over a number of partitions.
+
+    Without a number, adaptive execution chooses one for partitions of its
+    advisory size. A fixed small number squeezes a large table into few tasks.
     """
-    return df.repartition(max(at_least, df.rdd.getNumPartitions()))
+    if partitions is None:
+        return df.hint("rebalance")
+    return df.repartition(partitions)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 _RANK, _ONES, _TERM, _SHOWN = "_seed_rank", "_seed_ones", "_seed_term", "_seed_shown"
+_PREVIOUS = "_previous_shown"
 
 
 def even_slices(
@@ -121,14 +122,15 @@ def add_growth(
     seeded, cut = _seeded(df, keys, order, slices, value)
     along = W.partitionBy(*cut).orderBy(_RANK, *order)
     upto = along.rowsBetween(W.unboundedPreceding, 0)
-    now, previous = F.col(_SHOWN), F.lag(_SHOWN).over(along)
+    now, previous = F.col(_SHOWN), F.col(_PREVIOUS)
     change = F.round(F.try_divide(now - previous, previous) * 100, 2)
+    # A column of its own, so that the window works out the previous row once.
+    windowed = seeded.withColumns(
+        {_PREVIOUS: F.lag(_SHOWN).over(along), total: F.round(F.sum(_TERM).over(upto), 2)}
+    )
     return _unseeded(
-        seeded.withColumns(
-            {
-                growth: F.when(now.isNull() | previous.isNull(), 0).otherwise(change),
-                total: F.round(F.sum(_TERM).over(upto), 2),
-            }
+        windowed.withColumn(
+            growth, F.when(now.isNull() | previous.isNull(), 0).otherwise(change)
         ),
         [*df.columns, growth, total],
     )

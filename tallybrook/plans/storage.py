@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.operators import join_shared_key, rows_per_partition, spread
+from tallybrook.operators import join_shared_key, partition_count, rows_per_partition, spread
 from tallybrook.plans import tables
 from tallybrook.scratch import scratch_folder
 from tallybrook.sinks import write_files, write_partitioned_json
@@ -17,11 +17,16 @@ PARTITIONS = 5
 RECORDS_PER_FILE = 1_000_000
 
 
+# CSV cannot tell NULL from an empty text unless NULL has a mark.
+_CSV_OPTIONS = {"nullValue": r"\N"}
+
+
 def _round_trip(df: DataFrame, fmt: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, f"{fmt}-round-trip")
-    write_files(df, path, fmt)
-    return read_files(spark, path, fmt, df.schema)
+    options = _CSV_OPTIONS if fmt == "csv" else None
+    write_files(df, path, fmt, options)
+    return read_files(spark, path, fmt, df.schema, options)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +37,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through Avro if its module is loaded, else ORC."""
     loaded = "spark-avro" in spark.conf.get("spark.jars.packages", "")
-    return _round_trip(
-        spread(tables.table(spark, sf_dir, "orders"), PARTITIONS), "avro" if loaded else "orc"
-    )
+    orders = spread(tables.table(spark, sf_dir, "orders"))
+    return _round_trip(orders, "avro" if loaded else "orc")
 
 
 def json_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +65,13 @@ def partitioned_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders spread evenly: number of partitions, rows, and whether they are even."""
+    """Orders spread evenly: number of partitions, rows, and whether they are even.
+
+    Never fewer partitions than the scan has, whatever the table's size.
+    """
     orders = tables.table(spark, sf_dir, "orders").select("o_orderkey")
-    writers = orders.rdd.getNumPartitions()
-    counts = rows_per_partition(spread(orders, PARTITIONS))
+    writers = partition_count(orders)
+    counts = rows_per_partition(spread(orders, max(PARTITIONS, writers)))
     # Every task deals its rows in turn, so it adds at most one row of difference.
     return counts.agg(
         F.count(F.lit(1)).alias("num_partitions"),

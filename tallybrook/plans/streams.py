@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.functions import header_text
 from tallybrook.plans import tables
 from tallybrook.scratch import scratch_folder
 from tallybrook.sinks import FolderSink
@@ -27,7 +28,7 @@ def messages(spark: SparkSession, sf_dir: str, spoilt: bool = False) -> DataFram
         spark,
         f"{sf_dir}/events.parque[t]",
         "parquet",
-        tables.table(spark, sf_dir, "events").schema,
+        tables.SCHEMAS["events"],
         FILES_PER_BATCH,
     )
     payload = F.col("props").cast("binary")
@@ -93,15 +94,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters: bytes, reason and origin."""
     dead = spark.read.parquet(f"{_ingested(spark, sf_dir)}/dead")
-    headers = F.map_from_entries("headers")
+    headers = F.col("headers")
     return dead.select(
         F.hex("value").alias("value_hex"),
         F.col("key").cast("string").alias("key"),
         "preview",
-        headers["dlq-error"].cast("string").alias("error"),
-        headers["dlq-origin-topic"].cast("string").alias("topic"),
-        headers["dlq-origin-partition"].cast("string").alias("partition"),
-        headers["dlq-origin-offset"].cast("string").alias("offset"),
+        header_text(headers, "dlq-error").alias("error"),
+        header_text(headers, "dlq-origin-topic").alias("topic"),
+        header_text(headers, "dlq-origin-partition").alias("partition"),
+        header_text(headers, "dlq-origin-offset").alias("offset"),
     )
 
 

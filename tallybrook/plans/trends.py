@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.operators import add_growth, even_slices, number_rows
 from tallybrook.plans import tables
+from tallybrook.scratch import written
 
 
 def row_number_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,17 +22,22 @@ def weekly_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written out because slicing reads it three times; the join should run once."""
+    return written(tables.country_orders(spark, sf_dir), "country-orders")
+
+
 def row_number_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order numbered within its country, in slices of the order key."""
-    slices = [even_slices(tables.table(spark, sf_dir, "orders"), "o_orderkey")]
-    orders = tables.country_orders(spark, sf_dir)
+    orders = _stored_orders(spark, sf_dir)
+    slices = [even_slices(orders, "o_orderkey")]
     return number_rows(orders, ["Country"], ["o_orderkey"], slices=slices)
 
 
 def order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Growth and running total over every order of a country, in slices."""
-    slices = [even_slices(tables.table(spark, sf_dir, "orders"), "o_orderkey")]
-    orders = tables.country_orders(spark, sf_dir)
+    orders = _stored_orders(spark, sf_dir)
+    slices = [even_slices(orders, "o_orderkey")]
     return add_growth(orders, ["Country"], ["o_orderkey"], "InvoiceValue", slices=slices)
 
 

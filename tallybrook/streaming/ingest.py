@@ -12,43 +12,54 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tallybrook.functions import as_text, json_document, json_fault
+from tallybrook.functions import as_text, is_document, json_values
 from tallybrook.sinks.batches import ConnectorSink, FolderSink
 
 log = logging.getLogger(__name__)
 
 Sink = FolderSink | ConnectorSink
 
-_FAULT = "fault"
+_TEXT, _VALUES, _FAULT, _DOCUMENT = "text", "json_values", "fault", "document"
 _PREVIEW_LENGTH = 256
 
 
-def judged(messages: DataFrame) -> DataFrame:
-    """Add ``fault``: why the message is not a document, or NULL."""
-    return messages.withColumn(_FAULT, json_fault(F.col("value")))
+def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
+    """Add ``text``, ``fault`` and, if wanted, ``document``.
+
+    ``fault`` says why a message is not a document, or is NULL. Needs
+    ``spark.sql.variant.allowDuplicateKeys`` for objects with repeated keys.
+    """
+    value, text, values = F.col("value"), F.col(_TEXT), F.col(_VALUES)
+    fault = (
+        F.when(value.isNull(), "no value")
+        .when(text.isNull(), "not UTF-8 text")
+        .when(~is_document(text, values), "not a JSON object")
+    )
+    # One projection per step, so that each text is decoded and parsed once.
+    parsed = messages.withColumn(_TEXT, as_text(value)).withColumn(_VALUES, json_values(text))
+    added = {_FAULT: fault}
+    if variant:
+        added[_DOCUMENT] = F.get(values, 0)
+    return parsed.withColumns(added).drop(_VALUES)
 
 
-def to_documents(
-    checked: DataFrame, schema: StructType | None = None, variant: bool = True
-) -> DataFrame:
+def to_documents(checked: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Sound messages with their position.
 
     With a schema its fields become columns. Without one there is the text, and
-    beside it the document as VARIANT unless the sink has no such type. The text
-    stays because VARIANT numbers can lose digits.
+    beside it the document as VARIANT if it was kept. The text stays because
+    VARIANT numbers can lose digits.
     """
     sound = checked.filter(F.col(_FAULT).isNull())
-    text = as_text(F.col("value"))
     position = ["topic", "partition", "offset"]
     if schema is None:
-        parsed = [json_document(text).alias("document")] if variant else []
-        return sound.select(*position, text.alias("value"), *parsed)
+        kept = [_DOCUMENT] if _DOCUMENT in checked.columns else []
+        return sound.select(*position, F.col(_TEXT).alias("value"), *kept)
     clash = set(position) & set(schema.fieldNames())
     if clash:
         raise ValueError(f"document fields {sorted(clash)} are names of the message position")
-    return sound.select(*position, F.from_json(text, schema).alias("document")).select(
-        *position, "document.*"
-    )
+    typed = sound.select(*position, F.from_json(_TEXT, schema).alias("fields"))
+    return typed.select(*position, "fields.*")
 
 
 def to_dead_letters(checked: DataFrame) -> DataFrame:
@@ -68,7 +79,7 @@ def to_dead_letters(checked: DataFrame) -> DataFrame:
     kept = F.coalesce(
         F.col("headers"), F.array().cast("array<struct<key: string, value: binary>>")
     )
-    shown = F.coalesce(as_text(F.col("value")), F.hex("value"))
+    shown = F.coalesce(_TEXT, F.hex("value"))
     return checked.filter(F.col(_FAULT).isNotNull()).select(
         "key",
         "value",
@@ -108,13 +119,15 @@ def start_ingest(
     ``metrics`` receives one row per batch with what came in and where it went.
     """
 
+    # Connectors have no VARIANT type.
+    variant = schema is None and isinstance(documents, FolderSink)
+
     def store(batch: DataFrame, batch_id: int) -> None:
         # Both outputs come from one read and one parse of the batch.
-        checked = judged(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = judged(batch, variant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             dead_letters.write(to_dead_letters(checked), batch_id)
-            folder = isinstance(documents, FolderSink)
-            documents.write(to_documents(checked, schema, variant=folder), batch_id)
+            documents.write(to_documents(checked, schema), batch_id)
             if metrics is not None:
                 metrics.write(
                     checked.agg(

@@ -1,0 +1,130 @@
+import pytest
+
+from tallybrook.session import engine_settings, package_coordinates
+from tallybrook.settings import (
+    SettingsError,
+    document_store_options,
+    layered,
+    poll_trigger,
+    reader_options,
+    redacted,
+    whole_number,
+    writer_options,
+)
+
+CLUSTER = {
+    "bootstrap.servers": "one:9092,two:9092",
+    "security.protocol": "SASL_PLAINTEXT",
+    "sasl.mechanisms": "PLAIN",
+    "sasl.username": "user",
+    "sasl.password": 'p"w\\d',
+}
+
+
+def test_layers_from_left_to_right():
+    assert layered({"a": "1", "b": "2"}, {"b": "3"}, {"c": "4"}) == {"a": "1", "b": "3", "c": "4"}
+
+
+def test_reader_options():
+    role = {"group.id": "g", "enable.auto.commit": "false", "auto.offset.reset": "earliest"}
+    options = reader_options(layered(CLUSTER, role), "in", batch_records=500, min_partitions=64)
+    assert options == {
+        "kafka.bootstrap.servers": "one:9092,two:9092",
+        "kafka.security.protocol": "SASL_PLAINTEXT",
+        "kafka.sasl.mechanism": "PLAIN",
+        "kafka.sasl.jaas.config": (
+            "org.apache.kafka.common.security.plain.PlainLoginModule required "
+            'username="user" password="p\\"w\\\\d";'
+        ),
+        "subscribe": "in",
+        "startingOffsets": "earliest",
+        "includeHeaders": "true",
+        "failOnDataLoss": "true",
+        "maxOffsetsPerTrigger": "500",
+        "minPartitions": "64",
+    }
+
+
+def test_reader_starts_at_the_latest_and_has_no_bounds_unless_told():
+    options = reader_options({"bootstrap.servers": "one:9092"}, "in")
+    assert options["startingOffsets"] == "latest"
+    assert not {"maxOffsetsPerTrigger", "minPartitions", "kafka.sasl.jaas.config"} & set(options)
+
+
+def test_writer_options():
+    role = {
+        "acks": "all",
+        "retries": "3",
+        "batch.size": "16384",
+        "queue.buffering.max.kbytes": "32768",
+        "linger.ms": "5",
+    }
+    options = writer_options(layered(CLUSTER, role), "out")
+    assert options["topic"] == "out"
+    assert options["kafka.acks"] == "all"
+    assert options["kafka.retries"] == "3"
+    assert options["kafka.batch.size"] == "16384"
+    assert options["kafka.linger.ms"] == "5"
+    assert options["kafka.buffer.memory"] == str(32 * 1024 * 1024)
+
+
+def test_document_store_options():
+    section = {
+        "connection.string": "mongodb://u:p@h/",
+        "database.name": "d",
+        "collection.name": "c",
+    }
+    options = document_store_options(section)
+    assert options["connection.uri"] == "mongodb://u:p@h/"
+    assert (options["database"], options["collection"]) == ("d", "c")
+    assert options["ordered"] == "false"
+    assert options["idFieldList"] == "topic,partition,offset"
+    with pytest.raises(SettingsError, match="database.name"):
+        document_store_options({"connection.string": "x"})
+
+
+def test_secrets_do_not_show():
+    section = {"connection.string": "mongodb://u:hidden@h/", "database.name": "d", "collection.name": "c"}
+    shown = str(redacted(layered(CLUSTER, reader_options(CLUSTER, "t"), document_store_options(section))))
+    assert 'p"w' not in shown and "hidden" not in shown and "PlainLogin" not in shown
+    assert "one:9092" in shown
+
+
+@pytest.mark.parametrize(
+    "section, topic, extra, match",
+    [
+        ({}, "t", {}, "bootstrap.servers"),
+        ({**CLUSTER, "auto.offset.reset": "middle"}, "t", {}, "auto.offset.reset"),
+        ({**CLUSTER, "enable.auto.commit": "true"}, "t", {}, "enable.auto.commit"),
+        ({"bootstrap.servers": "x", "sasl.username": "u"}, "t", {}, "sasl.password"),
+        (CLUSTER, "t", {"batch_records": 0}, "batch_records"),
+    ],
+)
+def test_unusable_reader_settings(section, topic, extra, match):
+    with pytest.raises(SettingsError, match=match):
+        reader_options(section, topic, **extra)
+
+
+def test_whole_numbers_and_trigger():
+    assert whole_number({"n": " 500 "}, "n") == 500
+    assert poll_trigger({"remote.poll.timeout": "5"}, "remote.poll.timeout") == {
+        "processingTime": "5 seconds"
+    }
+    for section in ({}, {"n": "many"}, {"n": "0"}):
+        with pytest.raises(SettingsError, match="n "):
+            whole_number(section, "n")
+
+
+def test_engine_settings_follow_the_shuffle_size():
+    assert "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in engine_settings()
+    large = engine_settings(shuffle_bytes=20 * 1024**4)
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "163840"
+
+
+def test_packages_match_the_running_version():
+    import pyspark
+
+    assert package_coordinates("avro", "kafka") == (
+        f"org.apache.spark:spark-avro_2.13:{pyspark.__version__},"
+        f"org.apache.spark:spark-sql-kafka-0-10_2.13:{pyspark.__version__}"
+    )
