@@ -15,30 +15,58 @@ how Spark happens to read ties.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 _RANK, _ONES, _TERM, _SHOWN = "_seed_rank", "_seed_ones", "_seed_term", "_seed_shown"
 _PREVIOUS = "_previous_shown"
+_CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
+_SAMPLES_PER_SLICE = 200
 
 
-def even_slices(
-    df: DataFrame, column: str, rows_per_slice: int = 1_000_000, at_least: int = 8
-) -> Column:
-    """Equal ranges of a numeric order column, as many as the row count asks for.
+def cut_evenly(
+    df: DataFrame,
+    column: str,
+    name: str,
+    rows_per_slice: int = 1_000_000,
+    at_least: int = 8,
+    at_most: int = 4096,
+) -> DataFrame:
+    """Add ``name``, consecutive ranges of a numeric column with about as many rows each.
 
-    Reads the column once for its bounds and row count (three numbers).
+    The bounds are quantiles of a sample. They decide how even the slices are,
+    not what is computed over them, and an outlier does not move them.
     """
-    low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
-    if low is None or low == high:
-        return F.lit(0).cast("bigint")
-    ranges = max(at_least, -(-rows // rows_per_slice))
-    return F.width_bucket(
-        F.col(column).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(ranges)
+    rows = df.count()
+    slices = min(at_most, max(at_least, -(-rows // rows_per_slice)))
+    bounds = _quantiles(df, column, slices, _SAMPLES_PER_SLICE * slices / max(1, rows))
+    # NULL sorts first and NaN last, which is where these two lines put them.
+    shown = F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *(bounds or [0.0]), float("inf")],
+        inputCol=_CUT_INPUT,
+        outputCol=_CUT_OUTPUT,
+        handleInvalid="keep",
+    )
+    cut = bucketizer.transform(df.withColumn(_CUT_INPUT, shown))
+    return cut.select(*df.columns, F.col(_CUT_OUTPUT).cast("int").alias(name))
+
+
+def _quantiles(df: DataFrame, column: str, slices: int, share: float) -> list[float]:
+    """Distinct inner bounds of ``slices`` ranges, in order, from a share of the rows."""
+    values = df.select(F.col(column).cast("double").alias(_CUT_INPUT)).filter(
+        F.col(_CUT_INPUT).isNotNull() & ~F.isnan(_CUT_INPUT)
     )
+    if share < 1:
+        values = values.sample(share, seed=1)
+    steps = [i / slices for i in range(1, slices)]
+    found = values.agg(F.percentile_approx(_CUT_INPUT, steps, 10 * slices)).first()[0]
+    return sorted({bound for bound in found or [] if math.isfinite(bound)})
 
 
 def _last_value(value: str, order: Sequence[str]) -> Column:
@@ -55,14 +83,15 @@ def _seeded(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    slices: Sequence[Column],
+    slices: Sequence[Column | str],
     value: str | None,
 ) -> tuple[DataFrame, list[str]]:
     """``df`` with helper columns and seed rows, and the columns to partition by."""
     names = [f"_slice{i}" for i in range(len(slices))]
     cut = [*keys, *names]
     shown = F.col(value) if value else F.lit(None).cast("double")
-    sliced = df.withColumns(dict(zip(names, slices)))
+    columns = [F.col(s) if isinstance(s, str) else s for s in slices]
+    sliced = df.withColumns(dict(zip(names, columns)))
     rows = sliced.withColumns(
         {_RANK: F.lit(1), _ONES: F.lit(1).cast("bigint"), _TERM: shown, _SHOWN: shown}
     )
@@ -95,7 +124,7 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[str],
     *,
-    slices: Sequence[Column] = (),
+    slices: Sequence[Column | str] = (),
     name: str = "RowNum",
 ) -> DataFrame:
     """Add the row's position in its group, from 1."""
@@ -110,7 +139,7 @@ def add_growth(
     order: Sequence[str],
     value: str,
     *,
-    slices: Sequence[Column] = (),
+    slices: Sequence[Column | str] = (),
     growth: str = "PercentGrowth",
     total: str = "AccumulateValue",
 ) -> DataFrame:

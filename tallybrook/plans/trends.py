@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.operators import add_growth, even_slices, number_rows
+from tallybrook.operators import add_growth, cut_evenly, number_rows
 from tallybrook.plans import tables
 from tallybrook.scratch import written
 
@@ -22,23 +22,24 @@ def weekly_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written out because slicing reads it three times; the join should run once."""
-    return written(tables.country_orders(spark, sf_dir), "country-orders")
+def _sliced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with a ``slice``, stored first because they are read several times."""
+    orders = written(tables.country_orders(spark, sf_dir), "country-orders")
+    return cut_evenly(orders, "o_orderkey", "slice")
 
 
 def row_number_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order numbered within its country, in slices of the order key."""
-    orders = _stored_orders(spark, sf_dir)
-    slices = [even_slices(orders, "o_orderkey")]
-    return number_rows(orders, ["Country"], ["o_orderkey"], slices=slices)
+    orders = _sliced_orders(spark, sf_dir)
+    return number_rows(orders, ["Country"], ["o_orderkey"], slices=["slice"]).drop("slice")
 
 
 def order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Growth and running total over every order of a country, in slices."""
-    orders = _stored_orders(spark, sf_dir)
-    slices = [even_slices(orders, "o_orderkey")]
-    return add_growth(orders, ["Country"], ["o_orderkey"], "InvoiceValue", slices=slices)
+    orders = _sliced_orders(spark, sf_dir)
+    return add_growth(
+        orders, ["Country"], ["o_orderkey"], "InvoiceValue", slices=["slice"]
+    ).drop("slice")
 
 
 _ORDERS_SQL = """

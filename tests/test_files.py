@@ -87,6 +87,20 @@ def test_rebalancing_saves_files(spark, tmp_path):
     assert counts == [48, 6]
 
 
+def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
+    hot = F.when(F.col("id") < 200_000, "hot").otherwise((F.col("id") % 5).cast("string"))
+    df = spark.range(0, 300_000, 1, 8).select("id", hot.alias("a"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100k")
+    try:
+        write_partitioned_json(df, str(tmp_path / "out"), ["a"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{tmp_path}/out/a=hot/*.json")) > 3
+    assert spark.read.json(str(tmp_path / "out")).count() == 300_000
+
+
 def test_two_formats_compute_their_input_once(spark, sample, tmp_path):
     counted = spark.sparkContext.accumulator(0)
 

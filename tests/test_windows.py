@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators import add_growth, even_slices, number_rows
+from tallybrook.operators import add_growth, cut_evenly, number_rows
 
 SEVEN = [
     ("a", 1, 10.0),
@@ -84,19 +84,26 @@ def _check(df, rows, keys, slices):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cut", ["none", "leading", "both", "bounds"])
+@pytest.mark.parametrize("cut", ["none", "leading", "both"])
 def test_slices_do_not_change_results(spark, seed, cut):
     rows = _random_rows(seed)
     df = spark.createDataFrame(rows, "k string, d int, i int, v double").repartition(7)
     slices = {
         "none": [],
-        "leading": [F.col("d")],
+        "leading": ["d"],
         "both": [F.col("d"), F.floor(F.col("i") / 50)],
-        "bounds": [F.col("d"), even_slices(df, "i", rows_per_slice=40)],
     }[cut]
     _check(df, rows, ["k"], slices)
 
 
+def test_even_cuts_do_not_change_results(spark):
+    rows = _random_rows(3)
+    df = spark.createDataFrame(rows, "k string, d int, i int, v double").repartition(7)
+    cut = cut_evenly(df, "i", "slice", rows_per_slice=40)
+    assert cut.select("slice").distinct().count() > 10
+    _check(cut, rows, ["k"], ["d", "slice"])
+
+
 def test_single_order_column_with_null(spark):
     rows = [("a", None, 3.0), ("a", 1, 6.0), ("a", 5, 3.0), ("a", 6, 9.0)]
     df = spark.createDataFrame(rows, "k string, t int, v double")
@@ -111,18 +118,35 @@ def test_single_order_column_with_null(spark):
 
 
 def test_without_keys_the_table_is_one_group(spark):
-    df = spark.range(1000).withColumn("v", F.lit(2.0))
-    numbered = number_rows(df, [], ["id"], slices=[even_slices(df, "id", 100)])
+    df = cut_evenly(spark.range(1000).withColumn("v", F.lit(2.0)), "id", "slice", 100)
+    numbered = number_rows(df, [], ["id"], slices=["slice"])
     assert numbered.filter(F.col("RowNum") != F.col("id") + 1).count() == 0
-    grown = add_growth(df, [], ["id"], "v", slices=[even_slices(df, "id", 100)])
+    grown = add_growth(df, [], ["id"], "v", slices=["slice"])
     assert grown.agg(F.max("AccumulateValue")).first()[0] == 2000.0
 
 
-def test_even_slices_of_nothing_and_of_one_value(spark):
-    empty = spark.createDataFrame([], "i int")
-    assert empty.select(even_slices(empty, "i")).collect() == []
-    one = spark.createDataFrame([(7,), (7,)], "i int")
-    assert {row[0] for row in one.select(even_slices(one, "i")).collect()} == {0}
+def _slice_sizes(df, **options):
+    cut = cut_evenly(df, df.columns[0], "slice", **options)
+    return {row[0]: row[1] for row in cut.groupBy("slice").count().collect()}
+
+
+def test_even_cuts_of_nothing_and_of_one_value(spark):
+    assert _slice_sizes(spark.createDataFrame([], "i int")) == {}
+    assert len(_slice_sizes(spark.createDataFrame([(7,), (7,)], "i int"))) == 1
+
+
+def test_even_cuts_in_spite_of_an_outlier(spark):
+    df = spark.range(10_000).union(spark.createDataFrame([(10**15,)], "id bigint"))
+    sizes = _slice_sizes(df, rows_per_slice=500)
+    assert len(sizes) == 21 and max(sizes.values()) < 1000
+
+
+def test_even_cuts_follow_the_sort_order(spark):
+    values = [None, float("-inf"), -1.5, 0.0, 2.5, 7.0, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = cut_evenly(df, "x", "slice", at_least=4).orderBy("x").collect()
+    assert [row.slice for row in rows] == sorted(row.slice for row in rows)
+    assert rows[0].slice == 0
 
 
 def test_other_columns_survive(spark):
@@ -136,8 +160,8 @@ def test_other_columns_survive(spark):
 def test_a_hot_group_is_shuffled_in_slices(spark):
     # Not a literal, which the optimizer would drop from the shuffle key.
     key = F.when(F.col("id") >= 0, "hot").otherwise("cold")
-    df = spark.range(10_000).select(key.alias("k"), "id")
-    numbered = number_rows(df, ["k"], ["id"], slices=[even_slices(df, "id", 100)])
+    df = cut_evenly(spark.range(10_000).select(key.alias("k"), "id"), "id", "slice", 100)
+    numbered = number_rows(df, ["k"], ["id"], slices=["slice"])
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k#" in plan and ", _slice0#" in plan
     assert "SinglePartition" not in plan
