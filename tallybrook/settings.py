@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 
+# Sections by name, for instance a ConfigParser.
+Sections = Mapping[str, Mapping[str, str]]
+
+
 class SettingsError(ValueError):
     """A setting is missing or cannot be used."""
 
@@ -72,10 +76,15 @@ def reader_options(
     section: Mapping[str, str],
     topic: str,
     batch_records: int | None = None,
+    wait_records: int | None = None,
+    wait_seconds: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Kafka source options for one topic.
 
+    A batch starts once there are ``wait_records`` or, if there is anything,
+    after ``wait_seconds``, and takes at most ``batch_records``.
+
     ``auto.offset.reset`` only decides where a query without a checkpoint starts,
     like a consumer group without a committed offset. ``min_partitions`` splits
     a topic partition over several tasks, so that one partition holding most of
@@ -91,12 +100,18 @@ def reader_options(
     options["startingOffsets"] = start
     options["includeHeaders"] = "true"
     options["failOnDataLoss"] = "true"
-    if batch_records is not None:
-        if batch_records < 1:
-            raise SettingsError(f"batch_records must be positive: {batch_records}")
-        options["maxOffsetsPerTrigger"] = str(batch_records)
-    if min_partitions is not None:
-        options["minPartitions"] = str(min_partitions)
+    bounds = {
+        "maxOffsetsPerTrigger": batch_records,
+        "minOffsetsPerTrigger": wait_records,
+        "maxTriggerDelay": wait_seconds,
+        "minPartitions": min_partitions,
+    }
+    for option, bound in bounds.items():
+        if bound is None:
+            continue
+        if bound < 1:
+            raise SettingsError(f"{option} must be positive: {bound}")
+        options[option] = f"{bound}s" if option == "maxTriggerDelay" else str(bound)
     return options
 
 
@@ -136,6 +151,54 @@ def document_store_options(section: Mapping[str, str]) -> dict[str, str]:
     return options
 
 
-def poll_trigger(section: Mapping[str, str], key: str) -> dict[str, str]:
-    """A poll wait in seconds as a ``trigger`` argument."""
-    return {"processingTime": f"{whole_number(section, key)} seconds"}
+# A poll bounds the memory of one client; a batch is spread over executors.
+POLLS_PER_BATCH = 1_000
+
+
+def _polled(
+    section: Mapping[str, str], other: Mapping[str, str], side: str, topic: str, polls: int,
+    min_partitions: int | None,
+) -> dict[str, str]:
+    records = whole_number(other, f"{side}.max.poll.records")
+    return reader_options(
+        section,
+        _named(other, topic),
+        batch_records=records * polls,
+        wait_records=records,
+        wait_seconds=whole_number(other, f"{side}.poll.timeout"),
+        min_partitions=min_partitions,
+    )
+
+
+def _named(section: Mapping[str, str], key: str) -> str:
+    if not section.get(key):
+        raise SettingsError(f"{key} is missing")
+    return section[key]
+
+
+def bridge_options(
+    sections: Sections, polls_per_batch: int = POLLS_PER_BATCH, min_partitions: int | None = None
+) -> tuple[dict[str, str], dict[str, str]]:
+    """Source and sink options of the topic copy."""
+    other = sections["other"]
+    remote = layered(sections["kafka_remote"], sections["remote_consumer_config"])
+    source = _polled(
+        remote, other, "remote", "remote.topic.name", polls_per_batch, min_partitions
+    )
+    local = layered(sections["kafka_main"], sections["producer_config"])
+    return source, writer_options(local, _named(other, "source.topic.name"))
+
+
+def ingest_options(
+    sections: Sections, polls_per_batch: int = POLLS_PER_BATCH, min_partitions: int | None = None
+) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Source, document store and dead letter topic options of the ingestion."""
+    other = sections["other"]
+    main = layered(sections["kafka_main"], sections["consumer_config"])
+    source = _polled(main, other, "source", "source.topic.name", polls_per_batch, min_partitions)
+    dead = layered(sections["kafka_main"], sections["producer_config"])
+    return (
+        source,
+        document_store_options(sections["mongodb"]),
+        writer_options(dead, _named(other, "source.dlq.topic.name")),
+    )

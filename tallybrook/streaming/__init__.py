@@ -2,11 +2,14 @@
 
 from tallybrook.streaming.bridge import bridged, start_bridge
 from tallybrook.streaming.ingest import judged, start_ingest, to_dead_letters, to_documents
+from tallybrook.streaming.jobs import bridge_job, ingest_job
 from tallybrook.streaming.progress import ProgressLog
 
 __all__ = [
     "ProgressLog",
+    "bridge_job",
     "bridged",
+    "ingest_job",
     "judged",
     "start_bridge",
     "start_ingest",

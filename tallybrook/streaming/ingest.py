@@ -20,11 +20,12 @@ log = logging.getLogger(__name__)
 Sink = FolderSink | ConnectorSink
 
 _TEXT, _VALUES, _FAULT, _DOCUMENT = "text", "json_values", "fault", "document"
+_POSITION = ["topic", "partition", "offset"]
 _PREVIEW_LENGTH = 256
 
 
 def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
-    """Add ``text``, ``fault`` and, if wanted, ``document``.
+    """Add ``fault`` and, if wanted, ``document``.
 
     ``fault`` says why a message is not a document, or is NULL. Needs
     ``spark.sql.variant.allowDuplicateKeys`` for objects with repeated keys.
@@ -40,7 +41,7 @@ def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
     added = {_FAULT: fault}
     if variant:
         added[_DOCUMENT] = F.get(values, 0)
-    return parsed.withColumns(added).drop(_VALUES)
+    return parsed.withColumns(added).drop(_TEXT, _VALUES)
 
 
 def to_documents(checked: DataFrame, schema: StructType | None = None) -> DataFrame:
@@ -51,15 +52,15 @@ def to_documents(checked: DataFrame, schema: StructType | None = None) -> DataFr
     VARIANT numbers can lose digits.
     """
     sound = checked.filter(F.col(_FAULT).isNull())
-    position = ["topic", "partition", "offset"]
+    text = as_text(F.col("value"))
     if schema is None:
         kept = [_DOCUMENT] if _DOCUMENT in checked.columns else []
-        return sound.select(*position, F.col(_TEXT).alias("value"), *kept)
-    clash = set(position) & set(schema.fieldNames())
+        return sound.select(*_POSITION, text.alias("value"), *kept)
+    clash = set(_POSITION) & set(schema.fieldNames())
     if clash:
         raise ValueError(f"document fields {sorted(clash)} are names of the message position")
-    typed = sound.select(*position, F.from_json(_TEXT, schema).alias("fields"))
-    return typed.select(*position, "fields.*")
+    typed = sound.select(*_POSITION, F.from_json(text, schema).alias("fields"))
+    return typed.select(*_POSITION, "fields.*")
 
 
 def to_dead_letters(checked: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def to_dead_letters(checked: DataFrame) -> DataFrame:
     kept = F.coalesce(
         F.col("headers"), F.array().cast("array<struct<key: string, value: binary>>")
     )
-    shown = F.coalesce(_TEXT, F.hex("value"))
+    shown = F.coalesce(as_text(F.col("value")), F.hex("value"))
     return checked.filter(F.col(_FAULT).isNotNull()).select(
         "key",
         "value",
@@ -123,8 +124,9 @@ def start_ingest(
     variant = schema is None and isinstance(documents, FolderSink)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Both outputs come from one read and one parse of the batch.
-        checked = judged(batch, variant).persist(StorageLevel.MEMORY_AND_DISK)
+        # All outputs come from one read and one parse of the batch.
+        needed = batch.select(*_POSITION, "key", "value", "headers")
+        checked = judged(needed, variant).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             dead_letters.write(to_dead_letters(checked), batch_id)
             documents.write(to_documents(checked, schema), batch_id)

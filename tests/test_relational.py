@@ -29,6 +29,35 @@ def test_join_shared_key(spark):
     assert _rows(joined) == [(1, "x", "p"), (1, "x", "q")]
 
 
+def test_the_partition_of_a_hot_key_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    # A third of all rows has one key. Sizes are compared compressed, hence the hash.
+    rows = spark.range(0, 300_000, 1, 8)
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    left = rows.select(key.alias("id"), F.xxhash64(rows["id"]).alias("a"))
+    right = rows.filter("id % 3 != 0 or id = 0").withColumn("b", F.col("id") + 1)
+    try:
+        for setting, value in settings.items():
+            spark.conf.set(setting, value)
+        joined = join_shared_key(left, right, "id")
+        assert len(joined.collect()) == 300_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for setting, value in before.items():
+            if value is None:
+                spark.conf.unset(setting)
+            else:
+                spark.conf.set(setting, value)
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_join_names_columns_that_would_be_ambiguous(spark):
     left = spark.createDataFrame([(1, "x")], "id int, a string")
     with pytest.raises(ValueError, match="'a'"):

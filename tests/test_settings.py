@@ -1,16 +1,21 @@
+import configparser
+import logging
+
 import pytest
 
 from tallybrook.session import engine_settings, package_coordinates
 from tallybrook.settings import (
     SettingsError,
+    bridge_options,
     document_store_options,
+    ingest_options,
     layered,
-    poll_trigger,
     reader_options,
     redacted,
     whole_number,
     writer_options,
 )
+from tallybrook.streaming import jobs
 
 CLUSTER = {
     "bootstrap.servers": "one:9092,two:9092",
@@ -27,7 +32,7 @@ def test_layers_from_left_to_right():
 
 def test_reader_options():
     role = {"group.id": "g", "enable.auto.commit": "false", "auto.offset.reset": "earliest"}
-    options = reader_options(layered(CLUSTER, role), "in", batch_records=500, min_partitions=64)
+    options = reader_options(layered(CLUSTER, role), "in", 50_000, 500, 5, min_partitions=64)
     assert options == {
         "kafka.bootstrap.servers": "one:9092,two:9092",
         "kafka.security.protocol": "SASL_PLAINTEXT",
@@ -40,7 +45,9 @@ def test_reader_options():
         "startingOffsets": "earliest",
         "includeHeaders": "true",
         "failOnDataLoss": "true",
-        "maxOffsetsPerTrigger": "500",
+        "maxOffsetsPerTrigger": "50000",
+        "minOffsetsPerTrigger": "500",
+        "maxTriggerDelay": "5s",
         "minPartitions": "64",
     }
 
@@ -48,7 +55,13 @@ def test_reader_options():
 def test_reader_starts_at_the_latest_and_has_no_bounds_unless_told():
     options = reader_options({"bootstrap.servers": "one:9092"}, "in")
     assert options["startingOffsets"] == "latest"
-    assert not {"maxOffsetsPerTrigger", "minPartitions", "kafka.sasl.jaas.config"} & set(options)
+    assert set(options) == {
+        "kafka.bootstrap.servers",
+        "subscribe",
+        "startingOffsets",
+        "includeHeaders",
+        "failOnDataLoss",
+    }
 
 
 def test_writer_options():
@@ -97,7 +110,7 @@ def test_secrets_do_not_show():
         ({**CLUSTER, "auto.offset.reset": "middle"}, "t", {}, "auto.offset.reset"),
         ({**CLUSTER, "enable.auto.commit": "true"}, "t", {}, "enable.auto.commit"),
         ({"bootstrap.servers": "x", "sasl.username": "u"}, "t", {}, "sasl.password"),
-        (CLUSTER, "t", {"batch_records": 0}, "batch_records"),
+        (CLUSTER, "t", {"batch_records": 0}, "maxOffsetsPerTrigger"),
     ],
 )
 def test_unusable_reader_settings(section, topic, extra, match):
@@ -105,11 +118,86 @@ def test_unusable_reader_settings(section, topic, extra, match):
         reader_options(section, topic, **extra)
 
 
-def test_whole_numbers_and_trigger():
+SECTIONS_TEXT = """
+[kafka_remote]
+bootstrap.servers = far:9094
+sasl.username = far-user
+sasl.password = far-password
+[kafka_main]
+bootstrap.servers = near:9094
+[mongodb]
+connection.string = mongodb://near/
+database.name = d
+collection.name = c
+[producer_config]
+acks = all
+[consumer_config]
+auto.offset.reset = latest
+[remote_consumer_config]
+auto.offset.reset = earliest
+[other]
+remote.max.poll.records = 500
+remote.poll.timeout = 5
+source.max.poll.records = 400
+source.poll.timeout = 1
+source.topic.name = local
+source.dlq.topic.name = local.dlq
+remote.topic.name = far-away
+"""
+
+
+@pytest.fixture
+def sections():
+    parsed = configparser.ConfigParser(interpolation=None)
+    parsed.read_string(SECTIONS_TEXT)
+    return parsed
+
+
+def test_bridge_options_from_sections(sections):
+    source, sink = bridge_options(sections, polls_per_batch=10)
+    assert (source["subscribe"], source["startingOffsets"]) == ("far-away", "earliest")
+    assert source["kafka.bootstrap.servers"] == "far:9094"
+    assert source["maxOffsetsPerTrigger"] == "5000"
+    assert (source["minOffsetsPerTrigger"], source["maxTriggerDelay"]) == ("500", "5s")
+    assert sink == {"kafka.bootstrap.servers": "near:9094", "topic": "local", "kafka.acks": "all"}
+
+
+def test_ingest_options_from_sections(sections):
+    source, store, dead = ingest_options(sections, min_partitions=8)
+    assert (source["subscribe"], source["startingOffsets"]) == ("local", "latest")
+    assert (source["minOffsetsPerTrigger"], source["maxTriggerDelay"]) == ("400", "1s")
+    assert source["minPartitions"] == "8"
+    assert store["collection"] == "c"
+    assert (dead["topic"], dead["kafka.acks"]) == ("local.dlq", "all")
+
+
+def test_sections_with_gaps(sections):
+    sections["other"]["remote.max.poll.records"] = "many"
+    with pytest.raises(SettingsError, match="remote.max.poll.records"):
+        bridge_options(sections)
+    del sections["other"]["source.dlq.topic.name"]
+    with pytest.raises(SettingsError, match="source.dlq.topic.name"):
+        ingest_options(sections)
+
+
+def test_jobs_put_the_options_together(sections, monkeypatch, caplog):
+    calls = {}
+    monkeypatch.setattr(jobs, "kafka_stream", lambda spark, options: ("stream", options["subscribe"]))
+    monkeypatch.setattr(jobs, "start_bridge", lambda *a, **k: calls.update(bridge=(a, k)))
+    monkeypatch.setattr(jobs, "start_ingest", lambda *a, **k: calls.update(ingest=(a, k)))
+    caplog.set_level(logging.INFO, logger="tallybrook")
+    jobs.bridge_job(None, sections, "ck1")
+    jobs.ingest_job(None, sections, "ck2")
+    (stream, fmt, sink, checkpoint, _), _ = calls["bridge"]
+    assert (stream, fmt, sink["topic"], checkpoint) == (("stream", "far-away"), "kafka", "local", "ck1")
+    (stream, store, dead, checkpoint, _), _ = calls["ingest"]
+    assert (stream, checkpoint) == (("stream", "local"), "ck2")
+    assert (store.fmt, dead.fmt, dead.options["topic"]) == ("mongodb", "kafka", "local.dlq")
+    assert "far-password" not in caplog.text and "far:9094" in caplog.text
+
+
+def test_whole_numbers():
     assert whole_number({"n": " 500 "}, "n") == 500
-    assert poll_trigger({"remote.poll.timeout": "5"}, "remote.poll.timeout") == {
-        "processingTime": "5 seconds"
-    }
     for section in ({}, {"n": "many"}, {"n": "0"}):
         with pytest.raises(SettingsError, match="n "):
             whole_number(section, "n")

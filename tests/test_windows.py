@@ -149,6 +149,16 @@ def test_even_cuts_follow_the_sort_order(spark):
     assert rows[0].slice == 0
 
 
+def test_decimal_values_are_summed_exactly(spark):
+    df = spark.range(1, 101).select(
+        "id", (F.lit("90071992547409.93").cast("decimal(18,2)")).alias("v")
+    )
+    cut = cut_evenly(df, "id", "slice", 10)
+    last = add_growth(cut, [], ["id"], "v", slices=["slice"]).orderBy(F.desc("id")).first()
+    assert str(last.AccumulateValue) == "9007199254740993.00"
+    assert last.PercentGrowth == 0
+
+
 def test_other_columns_survive(spark):
     df = spark.createDataFrame(
         [("a", 1, 1.0, [1, 2], {"x": 1})], "k string, t int, v double, l array<int>, m map<string,int>"
