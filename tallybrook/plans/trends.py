@@ -55,7 +55,7 @@ _WEEKS_SQL = f"""
 
 
 def _growth_sql(source: str, order: str) -> str:
-    # Adding 0.0 turns a rounded -0.0 into 0.0.
+    # NULLs come first, as in Spark; adding 0.0 turns a rounded -0.0 into 0.0.
     return f"""
         SELECT *,
                CASE WHEN InvoiceValue IS NULL OR lag(InvoiceValue) OVER w IS NULL THEN 0
@@ -63,16 +63,16 @@ def _growth_sql(source: str, order: str) -> str:
                                / nullif(lag(InvoiceValue) OVER w, 0) * 100, 2) + 0.0
                END AS PercentGrowth,
                round(sum(InvoiceValue) OVER (
-                   PARTITION BY Country ORDER BY {order}
+                   PARTITION BY Country ORDER BY {order} NULLS FIRST
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS AccumulateValue
-        FROM ({source}) WINDOW w AS (PARTITION BY Country ORDER BY {order})
+        FROM ({source}) WINDOW w AS (PARTITION BY Country ORDER BY {order} NULLS FIRST)
         ORDER BY Country, {order}
     """
 
 
 def _number_sql(source: str, order: str) -> str:
     return f"""
-        SELECT *, row_number() OVER (PARTITION BY Country ORDER BY {order}) AS RowNum
+        SELECT *, row_number() OVER (PARTITION BY Country ORDER BY {order} NULLS FIRST) AS RowNum
         FROM ({source})
     """
 

@@ -17,7 +17,8 @@ def duckdb_rows(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
     try:
         for path in glob.glob(f"{sf_dir}/*.parquet"):
             name = os.path.basename(path).removesuffix(".parquet")
-            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+            files = f"{path}/*.parquet" if os.path.isdir(path) else path
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
         result = connection.execute(sql)
         return [column[0] for column in result.description], result.fetchall()
     finally:

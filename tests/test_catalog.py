@@ -22,3 +22,23 @@ def test_query_matches_sql(spark, name):
     assert sorted(result.columns) == sorted(columns)
     assert expected
     assert normalised(result.columns, rows) == normalised(columns, expected)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "agg_country_year",
+        "agg_country_df",
+        "customer_value_year",
+        "topk_preview",
+        "flagged_by_year",
+        "flagged_detail",
+        "weekly_growth",
+    ],
+)
+def test_rows_come_in_order(spark, name):
+    result = contract.queries()[name](spark, SF_DIR)
+    columns, expected = duckdb_rows(contract.oracle_sql()[name], SF_DIR)
+    places = [columns.index(column) for column in result.columns]
+    in_order = [tuple(row[i] for i in places) for row in expected]
+    assert [tuple(row) for row in result.collect()] == in_order
