@@ -39,7 +39,8 @@ def cut_evenly(
 ) -> DataFrame:
     """Add ``name``, consecutive ranges of a numeric column with about as many rows each.
 
-    The bounds are quantiles of a sample. They decide how even the slices are,
+    Reads ``df`` to count it and once more for the bounds, so it should be a stored
+    table. The bounds are quantiles of a sample. They decide how even the slices are,
     not what is computed over them, and an outlier does not move them.
     """
     rows = df.count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -27,11 +28,13 @@ def start_bridge(
 
     Progress is recorded after the sink has finished a batch. A Kafka sink may
     then see a batch twice after a failure, never lose one; a file sink keeps
-    each batch once.
+    each batch once. Progress events carry the number of copied messages.
     """
+    copied = bridged(messages, keep_key_headers).observe(
+        "copied", F.count(F.lit(1)).alias("num_copied")
+    )
     writer = (
-        bridged(messages, keep_key_headers)
-        .writeStream.format(fmt)
+        copied.writeStream.format(fmt)
         .options(**options)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

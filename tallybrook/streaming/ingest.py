@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,6 +22,8 @@ Sink = FolderSink | ConnectorSink
 _TEXT, _VALUES, _FAULT, _DOCUMENT = "text", "json_values", "fault", "document"
 _POSITION = ["topic", "partition", "offset"]
 _PREVIEW_LENGTH = 256
+_COUNTS = ["num_in", "num_stored", "num_dead"]
+_COUNTS_TYPE = ", ".join(f"{name} bigint" for name in _COUNTS)
 
 
 def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
@@ -127,21 +129,30 @@ def start_ingest(
         # All outputs come from one read and one parse of the batch.
         needed = batch.select(*_POSITION, "key", "value", "headers")
         checked = judged(needed, variant).persist(StorageLevel.MEMORY_AND_DISK)
+        # Counted while the documents are written.
+        seen = Observation()
+        counted = checked.observe(
+            seen,
+            F.count(F.lit(1)).alias("num_in"),
+            F.count_if(F.col(_FAULT).isNull()).alias("num_stored"),
+            F.count_if(F.col(_FAULT).isNotNull()).alias("num_dead"),
+        )
         try:
             dead_letters.write(to_dead_letters(checked), batch_id)
-            documents.write(to_documents(checked, schema), batch_id)
+            documents.write(to_documents(counted, schema), batch_id)
+            counts = seen.get
             if metrics is not None:
-                metrics.write(
-                    checked.agg(
-                        F.count(F.lit(1)).alias("num_in"),
-                        F.count_if(F.col(_FAULT).isNull()).alias("num_stored"),
-                        F.count_if(F.col(_FAULT).isNotNull()).alias("num_dead"),
-                    ),
-                    batch_id,
-                )
+                row = tuple(counts[name] for name in _COUNTS)
+                metrics.write(batch.sparkSession.createDataFrame([row], _COUNTS_TYPE), batch_id)
         finally:
             checked.unpersist()
-        log.info("batch %d stored", batch_id)
+        log.info(
+            "batch %d: stored %d of %d messages, %d dead letters",
+            batch_id,
+            counts["num_stored"],
+            counts["num_in"],
+            counts["num_dead"],
+        )
 
     writer = (
         messages.writeStream.foreachBatch(store)

@@ -10,7 +10,7 @@ log = logging.getLogger(__name__)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Logs the rows of every batch; add it with ``spark.streams.addListener``."""
+    """Logs the rows and observed counts of every batch; add it with ``spark.streams.addListener``."""
 
     def onQueryStarted(self, event) -> None:
         log.info("query %s started", event.name or event.id)
@@ -18,10 +18,11 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         log.info(
-            "query %s batch %d: %d rows",
+            "query %s batch %d: %d rows %s",
             progress.name or progress.id,
             progress.batchId,
             progress.numInputRows,
+            {name: row.asDict() for name, row in progress.observedMetrics.items()},
         )
 
     def onQueryIdle(self, event) -> None:

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import (
+    counted,
     flagged_detail,
     flagged_per_year,
     join_shared_key,
@@ -155,6 +156,12 @@ def test_preview_orders_and_cuts(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_counting_on_the_way(spark, tmp_path):
+    df, seen = counted(spark.range(1000).filter("id % 4 = 0"))
+    df.write.parquet(str(tmp_path / "out"))
+    assert seen.get == {"num_rows": 250}
+
+
 def test_spread(spark):
     df = spark.range(0, 1000, 1, 3)
     counts = [row.num_rows for row in rows_per_partition(spread(df, 5)).collect()]

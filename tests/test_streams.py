@@ -196,16 +196,25 @@ def test_bridge_can_keep_key_and_headers(spark, inbox, tmp_path):
     assert copied.filter("headers is not null").count() == 60
 
 
-def test_progress_log(spark, inbox, places, caplog):
+def test_progress_log(spark, inbox, places, tmp_path, caplog):
     caplog.set_level(logging.INFO, logger="tallybrook.streaming")
     listener = ProgressLog()
     spark.streams.addListener(listener)
     try:
+        start_bridge(
+            _stream(spark, inbox, 3),
+            "parquet",
+            {"path": str(tmp_path / "copy")},
+            str(tmp_path / "checkpoint"),
+            UNTIL_READ,
+            name="copy_test",
+        ).awaitTermination()
         places.run(spark, inbox, name="logged_test")
         deadline = time.time() + 20
-        while "stopped" not in caplog.text and time.time() < deadline:
+        while caplog.text.count("stopped") < 2 and time.time() < deadline:
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
+    assert "query copy_test batch 0: 120 rows {'copied': {'num_copied': 120}}" in caplog.text
     assert "query logged_test batch 0: 40 rows" in caplog.text
-    assert "batch 2 stored" in caplog.text
+    assert "batch 2: stored " in caplog.text and " of 40 messages" in caplog.text
