@@ -10,7 +10,9 @@ partitions by group *and* slice, in one shuffle of the table, and every value
 stays a function of the data alone, so a lost executor can be recomputed.
 
 ``order`` must identify a row within its group; otherwise the result depends on
-how Spark happens to read ties.
+how Spark happens to read ties. Where one order value holds many rows, an id
+goes to the end of ``order`` and a cut of it to the end of ``slices``:
+``order=["week", "id"], slices=["week", "id_slice"]``.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-_RANK, _ONES, _TERM, _SHOWN = "_seed_rank", "_seed_ones", "_seed_term", "_seed_shown"
-_PREVIOUS = "_previous_shown"
+_RANK, _TERM, _PREVIOUS = "_seed_rank", "_seed_term", "_previous"
 _CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
 _SAMPLES_PER_SLICE = 200
 
@@ -66,7 +67,9 @@ def _quantiles(df: DataFrame, column: str, slices: int, share: float) -> list[fl
     if share < 1:
         values = values.sample(share, seed=1)
     steps = [i / slices for i in range(1, slices)]
-    found = values.agg(F.percentile_approx(_CUT_INPUT, steps, 10 * slices)).first()[0]
+    # Few partitions of the small sample: merging one sketch per scan task is slow.
+    few = values.repartition(8)
+    found = few.agg(F.percentile_approx(_CUT_INPUT, steps, 10 * slices)).first()[0]
     return sorted({bound for bound in found or [] if math.isfinite(bound)})
 
 
@@ -85,34 +88,29 @@ def _seeded(
     keys: Sequence[str],
     order: Sequence[str],
     slices: Sequence[Column | str],
-    value: str | None,
+    term: Column,
+    value: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """``df`` with helper columns and seed rows, and the columns to partition by."""
+    """``df`` with the term to add up and with seed rows, and the columns to partition by.
+
+    A seed row holds the sum of the terms before its slice and, if asked for, in
+    ``value`` the last value before it.
+    """
     names = [f"_slice{i}" for i in range(len(slices))]
     cut = [*keys, *names]
-    shown = F.col(value) if value else F.lit(None).cast("double")
     columns = [F.col(s) if isinstance(s, str) else s for s in slices]
-    sliced = df.withColumns(dict(zip(names, columns)))
-    rows = sliced.withColumns(
-        {_RANK: F.lit(1), _ONES: F.lit(1).cast("bigint"), _TERM: shown, _SHOWN: shown}
-    )
+    rows = df.withColumns({**dict(zip(names, columns)), _RANK: F.lit(1), _TERM: term})
     if not slices:
         return rows, cut
 
-    totals = [F.count(F.lit(1)).alias(_ONES)]
-    if value:
-        totals += [F.sum(value).alias(_TERM), _last_value(value, order).alias(_SHOWN)]
-    else:
-        totals += [F.lit(None).cast("double").alias(_TERM), F.lit(None).cast("double").alias(_SHOWN)]
+    totals = [F.sum(_TERM).alias(_TERM)]
     along = W.partitionBy(*keys).orderBy(*names)
     before = along.rowsBetween(W.unboundedPreceding, -1)
-    seeds = sliced.groupBy(*cut).agg(*totals).select(
-        *cut,
-        F.lit(0).alias(_RANK),
-        F.sum(_ONES).over(before).alias(_ONES),
-        F.sum(_TERM).over(before).alias(_TERM),
-        F.lag(_SHOWN).over(along).alias(_SHOWN),
-    )
+    seed = [F.lit(0).alias(_RANK), F.sum(_TERM).over(before).alias(_TERM)]
+    if value:
+        totals.append(_last_value(value, order).alias(value))
+        seed.append(F.lag(value).over(along).alias(value))
+    seeds = rows.groupBy(*cut).agg(*totals).select(*cut, *seed)
     return rows.unionByName(seeds, allowMissingColumns=True), cut
 
 
@@ -129,9 +127,9 @@ def number_rows(
     name: str = "RowNum",
 ) -> DataFrame:
     """Add the row's position in its group, from 1."""
-    seeded, cut = _seeded(df, keys, order, slices, None)
+    seeded, cut = _seeded(df, keys, order, slices, F.lit(1).cast("bigint"))
     upto = W.partitionBy(*cut).orderBy(_RANK, *order).rowsBetween(W.unboundedPreceding, 0)
-    return _unseeded(seeded.withColumn(name, F.sum(_ONES).over(upto)), [*df.columns, name])
+    return _unseeded(seeded.withColumn(name, F.sum(_TERM).over(upto)), [*df.columns, name])
 
 
 def add_growth(
@@ -149,14 +147,14 @@ def add_growth(
     Growth is 0 where the value or the previous one is NULL and NULL where the
     previous one is 0. Both results are rounded to 2 digits.
     """
-    seeded, cut = _seeded(df, keys, order, slices, value)
+    seeded, cut = _seeded(df, keys, order, slices, F.col(value), value)
     along = W.partitionBy(*cut).orderBy(_RANK, *order)
     upto = along.rowsBetween(W.unboundedPreceding, 0)
-    now, previous = F.col(_SHOWN), F.col(_PREVIOUS)
+    now, previous = F.col(value), F.col(_PREVIOUS)
     change = F.round(F.try_divide(now - previous, previous) * 100, 2)
     # A column of its own, so that the window works out the previous row once.
     windowed = seeded.withColumns(
-        {_PREVIOUS: F.lag(_SHOWN).over(along), total: F.round(F.sum(_TERM).over(upto), 2)}
+        {_PREVIOUS: F.lag(value).over(along), total: F.round(F.sum(_TERM).over(upto), 2)}
     )
     return _unseeded(
         windowed.withColumn(

@@ -40,18 +40,11 @@ def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_value_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Value per customer in one year, in SQL text over registered frames."""
-    return run_sql(
-        spark,
-        """
-        SELECT CustomerID, round(sum(InvoiceValue), 2) AS invoice_value
-        FROM {invoices}
-        WHERE try_cast(substr(InvoiceDate, 7, 4) AS INT) = :year
-        GROUP BY CustomerID
-        ORDER BY invoice_value DESC, CustomerID
-        """,
-        args={"year": SALES_YEAR},
-        invoices=tables.invoices(spark, sf_dir, countries=False),
+    """Value per customer in one year, largest first."""
+    invoices = tables.invoices(spark, sf_dir, countries=False)
+    in_year = invoices.filter(text_year("InvoiceDate").try_cast("int") == SALES_YEAR)
+    return _by_value_then(
+        summarise_invoices(in_year, ["CustomerID"], ["invoice_value"]), "CustomerID"
     )
 
 
@@ -73,14 +66,17 @@ def indicator_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indicator_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 0/1 column summed per nation."""
-    return (
-        tables.table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey")
-        .agg(
-            F.count(F.lit(1)).alias("num_records"),
-            F.sum(in_words("c_mktsegment", ["building", "b"])).alias("num_building"),
-        )
+    """The 0/1 column summed per nation, in SQL text over a frame."""
+    return run_sql(
+        spark,
+        """
+        SELECT c_nationkey, count(*) AS num_records,
+               sum(if(array_contains(:words, lower(c_mktsegment)), 1, 0)) AS num_building
+        FROM {customers}
+        GROUP BY c_nationkey
+        """,
+        args={"words": ["building", "b"]},
+        customers=tables.table(spark, sf_dir, "customer"),
     )
 
 

@@ -36,7 +36,8 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through Avro if its module is loaded, else ORC."""
-    loaded = "spark-avro" in spark.conf.get("spark.jars.packages", "")
+    jars = ("spark.jars.packages", "spark.jars")
+    loaded = any("spark-avro" in spark.conf.get(name, "") for name in jars)
     orders = spread(tables.table(spark, sf_dir, "orders"))
     return _round_trip(orders, "avro" if loaded else "orc")
 

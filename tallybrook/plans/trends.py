@@ -57,15 +57,20 @@ _WEEKS_SQL = f"""
 def _growth_sql(source: str, order: str) -> str:
     # NULLs come first, as in Spark; adding 0.0 turns a rounded -0.0 into 0.0.
     return f"""
-        SELECT *,
-               CASE WHEN InvoiceValue IS NULL OR lag(InvoiceValue) OVER w IS NULL THEN 0
-                    ELSE round((InvoiceValue - lag(InvoiceValue) OVER w)
-                               / nullif(lag(InvoiceValue) OVER w, 0) * 100, 2) + 0.0
+        SELECT * EXCLUDE (earlier, running),
+               CASE WHEN earlier = 0 AND InvoiceValue IS NOT NULL THEN NULL
+                    ELSE coalesce(round((InvoiceValue - earlier) / earlier * 100, 2) + 0.0, 0)
                END AS PercentGrowth,
-               round(sum(InvoiceValue) OVER (
-                   PARTITION BY Country ORDER BY {order} NULLS FIRST
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS AccumulateValue
-        FROM ({source}) WINDOW w AS (PARTITION BY Country ORDER BY {order} NULLS FIRST)
+               round(running, 2) AS AccumulateValue
+        FROM (
+            SELECT *,
+                   lag(InvoiceValue) OVER (
+                       PARTITION BY Country ORDER BY {order} NULLS FIRST) AS earlier,
+                   sum(InvoiceValue) OVER (
+                       PARTITION BY Country ORDER BY {order} NULLS FIRST
+                       ROWS UNBOUNDED PRECEDING) AS running
+            FROM ({source})
+        )
         ORDER BY Country, {order}
     """
 

@@ -49,7 +49,8 @@ def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
 def to_documents(checked: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Sound messages with their position.
 
-    With a schema its fields become columns. Without one there is the text, and
+    With a schema its fields become columns, and only they are stored; a value of
+    another type becomes NULL. Without one there is the whole text, and
     beside it the document as VARIANT if it was kept. The text stays because
     VARIANT numbers can lose digits.
     """
