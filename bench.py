@@ -49,6 +49,7 @@ def main() -> None:
     }
     events = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    version = spark.version
     spark.stop()
     print(
         json.dumps(
@@ -62,6 +63,12 @@ def main() -> None:
                 "runs": RUNS,
                 "cpus": CPUS,
                 "rows": {"events": events, "lineitem": lines},
+                "stream_rows_per_second": {
+                    name: round(events / seconds)
+                    for name, seconds in warm.items()
+                    if name.startswith("stream_")
+                },
+                "spark": version,
             }
         )
     )
