@@ -97,8 +97,14 @@ def test_document_store_options():
 
 
 def test_secrets_do_not_show():
-    section = {"connection.string": "mongodb://u:hidden@h/", "database.name": "d", "collection.name": "c"}
-    shown = str(redacted(layered(CLUSTER, reader_options(CLUSTER, "t"), document_store_options(section))))
+    store = document_store_options(
+        {
+            "connection.string": "mongodb://u:hidden@h/",
+            "database.name": "d",
+            "collection.name": "c",
+        }
+    )
+    shown = str(redacted(layered(CLUSTER, reader_options(CLUSTER, "t"), store)))
     assert 'p"w' not in shown and "hidden" not in shown and "PlainLogin" not in shown
     assert "one:9092" in shown
 

@@ -27,7 +27,8 @@ def test_dates_day_first(spark):
 
 def test_dates_two_digits(spark):
     expected = [datetime.date(2010, 12, 1), None, None]
-    assert _column(spark, ["01-12-2010", "1-12-2010x", None], parsed_date("s", "dd-MM-yyyy")) == expected
+    texts = ["01-12-2010", "1-12-2010x", None]
+    assert _column(spark, texts, parsed_date("s", "dd-MM-yyyy")) == expected
 
 
 def test_year_of_text_compares_as_number(spark):
