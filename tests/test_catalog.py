@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import SF_DIR, duckdb_rows, normalised
+from tallybrook.plans.catalog import ORACLES, QUERIES
 
 
 def test_entry_runs(spark):
@@ -14,11 +15,11 @@ def test_queries_and_sql_cover_the_same_names():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
-    result = contract.queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     rows = [tuple(row) for row in result.collect()]
-    columns, expected = duckdb_rows(contract.oracle_sql()[name], SF_DIR)
+    columns, expected = duckdb_rows(ORACLES[name], SF_DIR)
     assert sorted(result.columns) == sorted(columns)
     assert expected
     assert normalised(result.columns, rows) == normalised(columns, expected)
