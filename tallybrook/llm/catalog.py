@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import chat, line_dedup, mixing
+from tallybrook.llm import chat, line_dedup, mixing, pages, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op5_topk": topk.op5_topk,
     "op6_mixing": mixing.op6_mixing,
+    "op7_html": pages.op7_html,
     "op8_chat": chat.op8_chat,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
-ORACLES: dict[str, str] = {**mixing.ORACLES, **chat.ORACLES, **line_dedup.ORACLES}
+ORACLES: dict[str, str] = {
+    **topk.ORACLES,
+    **mixing.ORACLES,
+    **chat.ORACLES,
+    **line_dedup.ORACLES,
+}
