@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import chat, line_dedup, mixing, pages, topk
+from tallybrook.llm import chat, line_dedup, mixing, pages, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op4_quality": quality.op4_quality,
     "op5_topk": topk.op5_topk,
     "op6_mixing": mixing.op6_mixing,
     "op7_html": pages.op7_html,
