@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -26,9 +25,13 @@ _NEIGHBOUR = [2, 3, 5, 7, 8, 9, 12, 14]
 _OWN = 15
 
 
-@functools.cache
+_TABLES: list[np.ndarray] = []
+
+
 def _classes() -> np.ndarray:
     """Class by code point; those above the basic plane are one class with symbols."""
+    if _TABLES:
+        return _TABLES[0]
     kinds = np.zeros(0x10001, np.uint8)
     for code in range(0x10000):
         char = chr(code)
@@ -43,6 +46,7 @@ def _classes() -> np.ndarray:
     for char in ".,;:'\"?-()":
         kinds[ord(char)] = _POINT
     kinds[ord("!")] = _BANG
+    _TABLES.append(kinds)
     return kinds
 
 

@@ -126,14 +126,8 @@ def _threats() -> Transducer:
     return Transducer({(0, AIMED): (0, OTHER, 4.0, 0.0), (0, WEAK_THREAT): (0, OTHER, 0.0, 0.0)})
 
 
-@functools.cache
-def grammar() -> Transducer:
-    return _negations().then(_reports()).then(_targets()).then(_insults()).then(_threats())
-
-
-@functools.cache
-def _closed_classes() -> dict[str, str]:
-    return {word: symbol for symbol, words in WORDS.items() for word in words.split()}
+GRAMMAR = _negations().then(_reports()).then(_targets()).then(_insults()).then(_threats())
+_CLOSED = {word: symbol for symbol, words in WORDS.items() for word in words.split()}
 
 
 @dataclass
@@ -168,11 +162,11 @@ class ToxicityModel:
 
     def clause(self, text: str) -> float:
         """Weight of the path that the grammar takes through a clause."""
-        machine, state, total, closed = grammar(), 0, 0.0, _closed_classes()
+        state, total = 0, 0.0
         for word in _WORD.findall(text):
             weight = self._insult(word)
-            symbol = INSULT if weight else closed.get(word, OTHER)
-            state, _, plus, times = machine.step(state, symbol)
+            symbol = INSULT if weight else _CLOSED.get(word, OTHER)
+            state, _, plus, times = GRAMMAR.step(state, symbol)
             total += plus + times * weight
         return max(total, 0.0)
 
