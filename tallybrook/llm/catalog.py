@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import chat, line_dedup, mixing, pages, quality, topk, toxicity
+from tallybrook.llm import (
+    chat,
+    jaccard,
+    line_dedup,
+    mixing,
+    pages,
+    quality,
+    substrings,
+    topk,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op3_jaccard": jaccard.op3_jaccard,
     "op4_quality": quality.op4_quality,
     "op5_topk": topk.op5_topk,
     "op6_mixing": mixing.op6_mixing,
     "op7_html": pages.op7_html,
     "op8_chat": chat.op8_chat,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_substrings": substrings.op10_substrings,
 }
 ORACLES: dict[str, str] = {
     **topk.ORACLES,
