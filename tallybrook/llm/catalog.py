@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.llm import (
     chat,
+    decontamination,
     jaccard,
     line_dedup,
     mixing,
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_decontamination": decontamination.op2_decontamination,
     "op3_jaccard": jaccard.op3_jaccard,
     "op4_quality": quality.op4_quality,
     "op5_topk": topk.op5_topk,
@@ -32,6 +34,7 @@ QUERIES: dict[str, Query] = {
     "op10_substrings": substrings.op10_substrings,
 }
 ORACLES: dict[str, str] = {
+    **decontamination.ORACLES,
     **topk.ORACLES,
     **mixing.ORACLES,
     **chat.ORACLES,
