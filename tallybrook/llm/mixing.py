@@ -12,7 +12,7 @@ from tallybrook.scratch import written
 WEIGHTS = (5, 2, 1)
 #: No source and no document is taken more often than this.
 MOST = 3
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 SEED = 20
 _ROWS_PER_CHUNK = 50_000
@@ -44,8 +44,9 @@ def source_targets(
     left = F.sum("source_size").over(everything) - F.coalesce(F.sum("most").over(before), F.lit(0))
     shared = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     per = per.withColumn("level", left / shared)
-    # The first source that isn't cut has the level of all that follow.
-    open_level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level")))
+    # The first source that isn't cut has the level of all that follow; those after it
+    # would have lower ones.
+    open_level = F.max(F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level")))
     per = per.withColumn("level", open_level.over(everything))
     target = F.least(F.col("most").cast("double"), F.col("level") * F.col("weight"))
     target = F.coalesce(target, F.col("most").cast("double"))
@@ -190,7 +191,7 @@ WITH sizes AS MATERIALIZED (
     FROM (SELECT source, number, source_size,
                  ceil(source_size::DOUBLE / {BLOCK_WORDS})::BIGINT AS blocks,
                  coalesce(least(most::DOUBLE,
-                   (SELECT min(level) FROM levels WHERE level * weight <= most) * weight),
+                   (SELECT max(level) FROM levels WHERE level * weight <= most) * weight),
                    most::DOUBLE) AS target
           FROM levels))
 ), placed AS MATERIALIZED (
