@@ -1,15 +1,29 @@
 """Column functions."""
 
-from tallybrook.functions.documents import as_text, header_text, is_document, json_values
+from tallybrook.functions.documents import (
+    as_text,
+    flat_document,
+    header_text,
+    is_document,
+    json_values,
+    over_parser_limits,
+)
+from tallybrook.functions.sums import EXACT, exact, exact_mean, exact_sum
 from tallybrook.functions.text import first_number, in_words, parsed_date, text_year
 
 __all__ = [
+    "EXACT",
     "as_text",
+    "exact",
+    "exact_mean",
+    "exact_sum",
+    "flat_document",
     "first_number",
     "header_text",
     "in_words",
     "is_document",
     "json_values",
+    "over_parser_limits",
     "parsed_date",
     "text_year",
 ]

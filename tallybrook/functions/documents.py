@@ -34,6 +34,30 @@ def is_document(text: Column, values: Column) -> Column:
     return F.coalesce(alone & closed, F.lit(False))
 
 
+# What the JSON parser takes at most. Characters of a string and of a key,
+# digits of a number, levels of nesting.
+_STRING, _KEY, _DIGITS, _LEVELS = 20_000_000, 50_000, 1_000, 1_000
+
+
+def over_parser_limits(text: Column) -> Column:
+    """True if a text that did not parse may only have met a limit of the parser."""
+    digits = text.rlike(rf"[0-9.]{{{_DIGITS}}}")
+    key = text.rlike(rf'"[^"]{{{_KEY}}}')
+    opened = F.length(F.regexp_replace(text, r"[^\[{]", ""))
+    return (F.length(text) > _STRING) | digits | key | (opened >= _LEVELS)
+
+
+def flat_document(text: Column, position: Column) -> Column:
+    """The text of a JSON object with a struct as its first field ``_position``.
+
+    The object's own fields stay at the top, as they are written. Line breaks outside
+    of strings, where alone they can stand, become blanks, so it is one line.
+    """
+    inner = F.regexp_replace(F.regexp_replace(text, r"^\s*\{\s*", ""), r"[\r\n]", " ")
+    comma = F.when(inner.rlike(r"^\}"), "").otherwise(",")
+    return F.concat(F.lit('{"_position":'), F.to_json(position), comma, inner)
+
+
 def header_text(headers: Column, name: str) -> Column:
     """The last message header of that name as text."""
     named = F.filter(headers, lambda header: header["key"] == name)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions import parsed_date
+from tallybrook.functions import exact, exact_mean, exact_sum, parsed_date
 
 
 def _grouped(df: DataFrame, keys: Sequence[Column | str], measures: dict[str, Column],
@@ -28,16 +28,16 @@ def summarise_sales(
 ) -> DataFrame:
     """Measures over invoice lines, per group or over the whole table.
 
-    A mean of doubles depends on the order of the rows in its last digits;
-    ``price_digits`` rounds it.
+    Sums and means are those of :func:`exact`, so they do not depend on the order of
+    the rows; NaN and infinity take no part. ``price_digits`` rounds the mean.
     """
-    mean = F.avg(price)
+    mean = exact_mean(price)
     measures = {
         "num_records": F.count(F.lit(1)),
-        "total_quantity": F.sum(quantity),
+        "total_quantity": exact_sum(quantity, 6),
         "avg_price": mean if price_digits is None else F.round(mean, price_digits),
         "num_invoices": F.count_distinct(F.col(invoice)),
-        "invoice_value": F.round(F.sum(F.col(quantity) * F.col(price)), 2),
+        "invoice_value": exact_sum(F.col(quantity) * F.col(price)),
     }
     return _grouped(lines, keys, measures, wanted)
 
@@ -48,7 +48,7 @@ def per_invoice(
     quantity: str = "Quantity",
     price: str = "UnitPrice",
 ) -> DataFrame:
-    """One row per invoice: its quantity and value.
+    """One row per invoice: its quantity and value, as DECIMAL.
 
     Done before lines meet their invoice headers, this makes the shuffle of the
     join as small as the number of invoices: an invoice that holds a large share
@@ -56,8 +56,8 @@ def per_invoice(
     grouping and the join share that one exchange.
     """
     return lines.groupBy(invoice).agg(
-        F.sum(quantity).alias("InvoiceQuantity"),
-        F.sum(F.col(quantity) * F.col(price)).alias("InvoiceValue"),
+        F.sum(exact(quantity)).alias("InvoiceQuantity"),
+        F.sum(exact(F.col(quantity) * F.col(price))).alias("InvoiceValue"),
     )
 
 
@@ -71,8 +71,8 @@ def summarise_invoices(
     """What :func:`summarise_sales` gives, from rows of :func:`per_invoice`."""
     measures = {
         "num_invoices": F.count_distinct(F.col(invoice)),
-        "total_quantity": F.sum("InvoiceQuantity"),
-        "invoice_value": F.round(F.sum("InvoiceValue"), 2),
+        "total_quantity": F.sum("InvoiceQuantity").cast("double"),
+        "invoice_value": F.round(F.sum("InvoiceValue").cast("double"), 2),
     }
     return _grouped(invoices, keys, measures, wanted)
 

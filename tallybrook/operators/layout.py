@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def partition_count(df: DataFrame) -> int:
-    """Physical partitions of ``df``. Meant for scans: a frame with shuffles would run them."""
-    return df.rdd.getNumPartitions()
+    """Physical partitions of ``df`` that hold rows."""
+    return df.select(F.spark_partition_id().alias("partition")).distinct().count()
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallybrook.functions import exact
+
 _RANK, _TERM, _PREVIOUS = "_seed_rank", "_seed_term", "_previous"
 _CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
 _SAMPLES_PER_SLICE = 200
@@ -36,17 +38,19 @@ def cut_evenly(
     name: str,
     rows_per_slice: int = 1_000_000,
     at_least: int = 8,
-    at_most: int = 4096,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``, consecutive ranges of a numeric column with about as many rows each.
 
-    Reads ``df`` to count it and once more for the bounds, so it should be a stored
-    table. The bounds are quantiles of a sample. They decide how even the slices are,
+    ``keys`` is what the number of slices and their bounds are read from, twice: a scan
+    of the column that ``df`` is made from, or else ``df`` itself, which should then be a
+    stored table. There are as many slices as the rows ask for. The bounds are quantiles of a sample. They decide how even the slices are,
     not what is computed over them, and an outlier does not move them.
     """
-    rows = df.count()
-    slices = min(at_most, max(at_least, -(-rows // rows_per_slice)))
-    bounds = _quantiles(df, column, slices, _SAMPLES_PER_SLICE * slices / max(1, rows))
+    keys = df if keys is None else keys
+    rows = keys.count()
+    slices = max(at_least, -(-rows // rows_per_slice))
+    bounds = _quantiles(keys, column, slices, _SAMPLES_PER_SLICE * slices / max(1, rows))
     # NULL sorts first and NaN last, which is where these two lines put them.
     shown = F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
     bucketizer = Bucketizer(
@@ -145,16 +149,17 @@ def add_growth(
     """Add the growth over the previous row in percent and the running sum.
 
     Growth is 0 where the value or the previous one is NULL and NULL where the
-    previous one is 0. Both results are rounded to 2 digits.
+    previous one is 0. The running sum is that of :func:`exact`, and a double. Both
+    results are rounded to 2 digits.
     """
-    seeded, cut = _seeded(df, keys, order, slices, F.col(value), value)
+    seeded, cut = _seeded(df, keys, order, slices, exact(value), value)
     along = W.partitionBy(*cut).orderBy(_RANK, *order)
     upto = along.rowsBetween(W.unboundedPreceding, 0)
     now, previous = F.col(value), F.col(_PREVIOUS)
     change = F.round(F.try_divide(now - previous, previous) * 100, 2)
     # A column of its own, so that the window works out the previous row once.
     windowed = seeded.withColumns(
-        {_PREVIOUS: F.lag(value).over(along), total: F.round(F.sum(_TERM).over(upto), 2)}
+        {_PREVIOUS: F.lag(value).over(along), total: F.round(F.sum(_TERM).over(upto).cast("double"), 2)}
     )
     return _unseeded(
         windowed.withColumn(

@@ -7,24 +7,42 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators import size_at_least, size_in_form
 from tallybrook.plans import tables
-from tallybrook.sources import register_view
+from tallybrook.sources import run_sql
 
 LEAST_SIZE = 20
 
 
 def regex_size_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers with a large enough number, by a CTE over a named view."""
-    register_view(tables.survey(spark, sf_dir), "tallybrook_survey")
-    return spark.sql(
+    """Answers with a large enough number, by a CTE over a frame."""
+    return run_sql(
+        spark,
         r"""
         WITH sized AS (
             SELECT answer, state, no_employees,
                    try_cast(regexp_extract(no_employees, r'\d+', 0) AS INT) AS size
-            FROM tallybrook_survey
+            FROM {survey}
         )
         SELECT answer, state, no_employees FROM sized WHERE size >= :least
         """,
         args={"least": LEAST_SIZE},
+        survey=tables.survey(spark, sf_dir),
+    )
+
+
+def answers_per_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers and the largest number per state, of those with a large enough one."""
+    return run_sql(
+        spark,
+        r"""
+        WITH sized AS (
+            SELECT state, try_cast(regexp_extract(no_employees, r'\d+', 0) AS INT) AS size
+            FROM {survey}
+        )
+        SELECT state, count(*) AS num_answers, max(size) AS largest
+        FROM sized WHERE size >= :least GROUP BY state
+        """,
+        args={"least": LEAST_SIZE},
+        survey=tables.survey(spark, sf_dir),
     )
 
 
@@ -56,6 +74,10 @@ _LARGE_SQL = f"""
 ORACLES = {
     "regex_size_filter": _LARGE_SQL,
     "regex_size_filter_df": _LARGE_SQL,
+    "answers_per_state": f"""
+        SELECT state, count(*) AS num_answers, max(size) AS largest
+        FROM ({_SURVEY_SQL}) WHERE size >= {LEAST_SIZE} GROUP BY state
+    """,
     "regex_or_filter": rf"""
         SELECT answer, state, no_employees FROM ({_SURVEY_SQL})
         WHERE (no_employees LIKE 'Brand#1%' AND size >= 15)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.functions import in_words, text_year
+from tallybrook.functions import EXACT, exact_sum, in_words, text_year
 from tallybrook.operators import preview, summarise_invoices, summarise_sales
 from tallybrook.plans import tables
 from tallybrook.sources import literal_table, run_sql
@@ -51,7 +51,7 @@ def customer_value_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topk_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest invoices."""
     rows = tables.invoices(spark, sf_dir, countries=False).select(
-        "InvoiceNo", "CustomerID", F.round("InvoiceValue", 2).alias("invoice_value")
+        "InvoiceNo", "CustomerID", F.round(F.col("InvoiceValue").cast("double"), 2).alias("invoice_value")
     )
     return preview(rows, [F.desc("invoice_value"), "InvoiceNo"])
 
@@ -94,11 +94,13 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("Name", "Age")
         .agg(
             F.count(F.lit(1)).alias("num_records"),
-            F.round(F.sum("o_totalprice"), 2).alias("order_value"),
+            exact_sum("o_totalprice").alias("order_value"),
         )
     )
 
 
+# The values are added up as DECIMAL, as in the queries.
+_VALUE_SQL = f"round(CAST(sum(CAST(l_quantity * l_extendedprice AS {EXACT})) AS DOUBLE), 2)"
 _INVOICES_SQL = """
     SELECT n_name AS Country, o_custkey AS CustomerID, o_orderkey AS InvoiceNo,
            l_quantity AS Quantity, l_extendedprice AS UnitPrice,
@@ -113,33 +115,34 @@ ORACLES = {
     "agg_country_year": f"""
         SELECT Country, substr(InvoiceDate, 7, 4) AS year,
                count(DISTINCT InvoiceNo) AS num_invoices, sum(Quantity) AS total_quantity,
-               round(sum(Quantity * UnitPrice), 2) AS invoice_value
+               {_VALUE_SQL.replace("l_quantity", "Quantity").replace("l_extendedprice", "UnitPrice")} AS invoice_value
         FROM ({_INVOICES_SQL}) GROUP BY Country, substr(InvoiceDate, 7, 4)
         ORDER BY invoice_value DESC, Country, year
     """,
     "agg_country_df": f"""
         SELECT Country, count(DISTINCT InvoiceNo) AS num_invoices,
                sum(Quantity) AS total_quantity,
-               round(sum(Quantity * UnitPrice), 2) AS invoice_value
+               {_VALUE_SQL.replace("l_quantity", "Quantity").replace("l_extendedprice", "UnitPrice")} AS invoice_value
         FROM ({_INVOICES_SQL}) GROUP BY Country ORDER BY invoice_value DESC, Country
     """,
-    "agg_global": """
+    "agg_global": f"""
         SELECT count(*) AS num_records, sum(l_quantity) AS total_quantity,
-               round(avg(l_extendedprice), 6) AS avg_price,
+               round(CAST(sum(CAST(l_extendedprice AS {EXACT})) AS DOUBLE)
+                     / count(l_extendedprice), 6) AS avg_price,
                count(DISTINCT l_orderkey) AS num_invoices,
-               round(sum(l_quantity * l_extendedprice), 2) AS invoice_value
+               {_VALUE_SQL} AS invoice_value
         FROM lineitem
     """,
     "customer_value_year": f"""
         SELECT o_custkey AS CustomerID,
-               round(sum(l_quantity * l_extendedprice), 2) AS invoice_value
+               {_VALUE_SQL} AS invoice_value
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey
         WHERE try_cast(substr(strftime(o_orderdate, '%d-%m-%Y'), 7, 4) AS INTEGER) = {SALES_YEAR}
         GROUP BY o_custkey ORDER BY invoice_value DESC, CustomerID
     """,
-    "topk_preview": """
+    "topk_preview": f"""
         SELECT o_orderkey AS InvoiceNo, o_custkey AS CustomerID,
-               round(sum(l_quantity * l_extendedprice), 2) AS invoice_value
+               {_VALUE_SQL} AS invoice_value
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey
         GROUP BY o_orderkey, o_custkey ORDER BY invoice_value DESC, InvoiceNo LIMIT 20
     """,
@@ -154,8 +157,9 @@ ORACLES = {
                     AS BIGINT) AS num_building
         FROM customer GROUP BY c_nationkey
     """,
-    "literal_rows": """
-        SELECT Name, Age, count(*) AS num_records, round(sum(o_totalprice), 2) AS order_value
+    "literal_rows": f"""
+        SELECT Name, Age, count(*) AS num_records,
+               round(CAST(sum(CAST(o_totalprice AS {EXACT})) AS DOUBLE), 2) AS order_value
         FROM (VALUES ('1-URGENT', CAST(1 AS BIGINT)), ('2-HIGH', 2), ('3-MEDIUM', 3)) v(Name, Age)
         JOIN orders ON o_orderpriority = Name GROUP BY Name, Age
     """,

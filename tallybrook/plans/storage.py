@@ -5,28 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.operators import join_shared_key, partition_count, rows_per_partition, spread
+from tallybrook.functions import EXACT, exact, exact_sum
+from tallybrook.operators import join_shared_key, spread
 from tallybrook.plans import tables
 from tallybrook.scratch import scratch_folder
-from tallybrook.sinks import write_files, write_partitioned_json
+from tallybrook.sinks import write_files, write_partitioned_json, write_two_formats
 from tallybrook.sources import read_files
 
 PARTITIONS = 5
-# 10,000 suits tables of some millions of rows; 100 TB would be tens of
+# Suits tables of some millions of rows; for 100 TB pass more, or it makes tens of
 # millions of files.
-RECORDS_PER_FILE = 1_000_000
+RECORDS_PER_FILE = 10_000
 
 
-# CSV cannot tell NULL from an empty text unless NULL has a mark.
-_CSV_OPTIONS = {"nullValue": r"\N"}
-
-
-def _round_trip(df: DataFrame, fmt: str) -> DataFrame:
+def _round_trip(df: DataFrame, fmt: str, inferred: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, f"{fmt}-round-trip")
-    options = _CSV_OPTIONS if fmt == "csv" else None
-    write_files(df, path, fmt, options)
-    return read_files(spark, path, fmt, df.schema, options)
+    write_files(df, path, fmt)
+    return read_files(spark, path, fmt, None if inferred else df.schema)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +30,29 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(tables.table(spark, sf_dir, "orders"), "csv")
 
 
-def columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders through Avro if its module is loaded, else ORC."""
-    jars = ("spark.jars.packages", "spark.jars")
-    loaded = any("spark-avro" in spark.conf.get(name, "") for name in jars)
-    orders = spread(tables.table(spark, sf_dir, "orders"))
-    return _round_trip(orders, "avro" if loaded else "orc")
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers through CSV, read without a schema."""
+    found = _round_trip(tables.table(spark, sf_dir, "customer"), "csv", inferred=True)
+    return _typed_customers(found)
+
+
+def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers through JSON lines, read without a schema."""
+    found = _round_trip(tables.table(spark, sf_dir, "customer"), "json", inferred=True)
+    return _typed_customers(found)
+
+
+def _typed_customers(found: DataFrame) -> DataFrame:
+    # The types as inferred are part of the result; how wide a whole number is, is not.
+    whole = {name: F.col(name).cast("bigint") for name, kind in found.dtypes if kind in ("int", "bigint")}
+    return found.withColumns(whole).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
+    )
+
+
+def columnar_roundtrip(spark: SparkSession, sf_dir: str, fmt: str = "orc") -> DataFrame:
+    """Orders through ORC, or ``avro`` where Spark's module for it is loaded."""
+    return _round_trip(tables.table(spark, sf_dir, "orders"), fmt)
 
 
 def json_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,43 +61,82 @@ def json_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_shared_key(_round_trip(first, "json"), _round_trip(second, "json"), "id")
 
 
-def partitioned_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+_FOLDERS = ["l_returnflag", "l_linestatus"]
+
+
+def _per_folder(stored: DataFrame, cap: int) -> DataFrame:
+    """Totals per folder, files over the cap, and whether there are files enough to keep it."""
+    per_file = stored.groupBy(*_FOLDERS, F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows_in_file"), F.sum(exact("l_extendedprice")).alias("price")
+    )
+    return per_file.groupBy(*_FOLDERS).agg(
+        F.sum("rows_in_file").alias("num_rows"),
+        F.round(F.sum("price").cast("double"), 2).alias("total_price"),
+        F.count_if(F.col("rows_in_file") > cap).alias("files_over_cap"),
+        (F.count(F.lit(1)) * cap >= F.sum("rows_in_file")).alias("files_enough"),
+    )
+
+
+def partitioned_json_roundtrip(
+    spark: SparkSession, sf_dir: str, cap: int = RECORDS_PER_FILE, rebalance: bool = False
+) -> DataFrame:
     """Lines in JSON folders by two columns: totals per folder and files over the cap."""
     lines = tables.table(spark, sf_dir, "lineitem")
     path = scratch_folder(spark, "partitioned-json")
-    folders = ["l_returnflag", "l_linestatus"]
-    write_partitioned_json(lines, path, folders, RECORDS_PER_FILE)
-    stored = spark.read.schema(lines.schema).json(path)
-    per_file = stored.groupBy(*folders, F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows_in_file"), F.sum("l_extendedprice").alias("price")
-    )
-    return per_file.groupBy(*folders).agg(
-        F.sum("rows_in_file").alias("num_rows"),
-        F.round(F.sum("price"), 2).alias("total_price"),
-        F.count_if(F.col("rows_in_file") > RECORDS_PER_FILE).alias("files_over_cap"),
+    write_partitioned_json(lines, path, _FOLDERS, cap, rebalance=rebalance)
+    return _per_folder(spark.read.schema(lines.schema).json(path), cap).drop("files_enough")
+
+
+def two_formats_roundtrip(
+    spark: SparkSession, sf_dir: str, columnar: str = "orc", cap: int = 1_000
+) -> DataFrame:
+    """Lines as columnar files and JSON folders made from them: both read back.
+
+    The cap is small enough for several files in a folder of the smaller tables.
+    """
+    lines = tables.table(spark, sf_dir, "lineitem")
+    path = scratch_folder(spark, "two-formats")
+    write_two_formats(lines, f"{path}/columnar", f"{path}/json", _FOLDERS, cap, columnar)
+    first = read_files(spark, f"{path}/columnar", columnar, lines.schema)
+    totals = first.groupBy(*_FOLDERS).agg(
+        F.count(F.lit(1)).alias("columnar_rows"), exact_sum("l_extendedprice").alias("columnar_price")
     )
+    second = spark.read.schema(lines.schema).json(f"{path}/json")
+    return _per_folder(second, cap).join(totals, _FOLDERS)
 
 
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders spread evenly: number of partitions, rows, and whether they are even.
+    """Orders spread over a number of partitions: rows, and whether they lie as asked.
 
-    Never fewer partitions than the scan has, whatever the table's size.
+    ``as_asked`` says that no more partitions than asked for hold rows, ``even`` that
+    they differ by no more than one row for each task that dealt them out.
     """
-    orders = tables.table(spark, sf_dir, "orders").select("o_orderkey")
-    writers = partition_count(orders)
-    counts = rows_per_partition(spread(orders, max(PARTITIONS, writers)))
-    # Every task deals its rows in turn, so it adds at most one row of difference.
-    return counts.agg(
-        F.count(F.lit(1)).alias("num_partitions"),
-        F.sum("num_rows").alias("num_rows"),
-        (F.max("num_rows") - F.min("num_rows") <= writers).alias("even"),
+    orders = tables.table(spark, sf_dir, "orders").select(F.spark_partition_id().alias("writer"))
+    dealt = spread(orders, PARTITIONS).withColumn("reader", F.spark_partition_id())
+    # A partition without rows has no row here, but counts as one of 0 rows.
+    per_pair = dealt.groupBy("reader", "writer").agg(F.count(F.lit(1)).alias("n"))
+    parts = per_pair.groupBy("reader").agg(F.sum("n").alias("n"), F.collect_set("writer").alias("writers"))
+    least = F.when(F.count(F.lit(1)) < PARTITIONS, 0).otherwise(F.min("n"))
+    writers = F.size(F.array_distinct(F.flatten(F.collect_list("writers"))))
+    return parts.agg(
+        F.lit(PARTITIONS).cast("bigint").alias("num_partitions"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_rows"),
+        (F.count(F.lit(1)) <= PARTITIONS).alias("as_asked"),
+        F.coalesce(F.max("n") - least <= writers, F.lit(True)).alias("even"),
     )
 
 
 _ORDERS_SQL = "SELECT * FROM orders"
+_CUSTOMERS_SQL = """
+    SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+    FROM customer
+"""
+_PRICE_SQL = f"round(CAST(sum(CAST(l_extendedprice AS {EXACT})) AS DOUBLE), 2)"
 
 ORACLES = {
     "csv_roundtrip": _ORDERS_SQL,
+    "csv_inferred": _CUSTOMERS_SQL,
+    "json_inferred": _CUSTOMERS_SQL,
     "columnar_roundtrip": _ORDERS_SQL,
     "json_dir_scan": """
         SELECT o_orderkey AS id, o_orderpriority AS DEST,
@@ -93,14 +145,21 @@ ORACLES = {
                CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS CANCELLED
         FROM orders
     """,
-    "partitioned_json_roundtrip": """
+    "two_formats_roundtrip": f"""
+        SELECT l_returnflag, l_linestatus, count(*) AS num_rows, {_PRICE_SQL} AS total_price,
+               CAST(0 AS BIGINT) AS files_over_cap, true AS files_enough,
+               count(*) AS columnar_rows, {_PRICE_SQL} AS columnar_price
+        FROM lineitem GROUP BY l_returnflag, l_linestatus
+    """,
+    "partitioned_json_roundtrip": f"""
         SELECT l_returnflag, l_linestatus, count(*) AS num_rows,
-               round(sum(l_extendedprice), 2) AS total_price,
+               {_PRICE_SQL} AS total_price,
                CAST(0 AS BIGINT) AS files_over_cap
         FROM lineitem GROUP BY l_returnflag, l_linestatus
     """,
     "partition_balance": f"""
-        SELECT CAST({PARTITIONS} AS BIGINT) AS num_partitions, count(*) AS num_rows, true AS even
+        SELECT CAST({PARTITIONS} AS BIGINT) AS num_partitions, count(*) AS num_rows,
+               true AS as_asked, true AS even
         FROM orders
     """,
 }

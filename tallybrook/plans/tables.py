@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.functions import exact_sum
 from tallybrook.operators import join_shared_key, per_invoice
 from tallybrook.sources import read_files
 
@@ -133,5 +134,5 @@ def weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         country_orders(spark, sf_dir)
         .groupBy("Country", F.trunc("order_day", "week").alias("WeekNumber"))
-        .agg(F.round(F.sum("InvoiceValue"), 2).alias("InvoiceValue"))
+        .agg(exact_sum("InvoiceValue").alias("InvoiceValue"))
     )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybrook.functions import EXACT
 from tallybrook.operators import add_growth, cut_evenly, number_rows
 from tallybrook.plans import tables
-from tallybrook.scratch import written
 
 
 def row_number_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +23,9 @@ def weekly_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sliced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders with a ``slice``, stored first because they are read several times."""
-    orders = written(tables.country_orders(spark, sf_dir), "country-orders")
-    return cut_evenly(orders, "o_orderkey", "slice")
+    """The orders with a ``slice``, by bounds read from one column of the scan."""
+    keys = tables.table(spark, sf_dir, "orders").select("o_orderkey")
+    return cut_evenly(tables.country_orders(spark, sf_dir), "o_orderkey", "slice", keys=keys)
 
 
 def row_number_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ _ORDERS_SQL = """
 """
 _WEEKS_SQL = f"""
     SELECT Country, CAST(date_trunc('week', order_day) AS DATE) AS WeekNumber,
-           round(sum(InvoiceValue), 2) AS InvoiceValue
+           round(CAST(sum(CAST(InvoiceValue AS {EXACT})) AS DOUBLE), 2) AS InvoiceValue
     FROM ({_ORDERS_SQL}) GROUP BY Country, date_trunc('week', order_day)
 """
 
@@ -61,12 +61,12 @@ def _growth_sql(source: str, order: str) -> str:
                CASE WHEN earlier = 0 AND InvoiceValue IS NOT NULL THEN NULL
                     ELSE coalesce(round((InvoiceValue - earlier) / earlier * 100, 2) + 0.0, 0)
                END AS PercentGrowth,
-               round(running, 2) AS AccumulateValue
+               round(CAST(running AS DOUBLE), 2) AS AccumulateValue
         FROM (
             SELECT *,
                    lag(InvoiceValue) OVER (
                        PARTITION BY Country ORDER BY {order} NULLS FIRST) AS earlier,
-                   sum(InvoiceValue) OVER (
+                   sum(CAST(InvoiceValue AS {EXACT})) OVER (
                        PARTITION BY Country ORDER BY {order} NULLS FIRST
                        ROWS UNBOUNDED PRECEDING) AS running
             FROM ({source})

@@ -25,6 +25,58 @@ _WRITER_KEYS = {
     "batch.size": "kafka.batch.size",
     "linger.ms": "kafka.linger.ms",
 }
+# SASL mechanism -> login module of the Kafka client.
+_LOGIN_MODULES = {
+    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
+    "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
+    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
+}
+# Other names of a client setting, and settings passed on under their name.
+_SAME_KEYS = {"sasl.mechanism": "sasl.mechanisms"}
+_PASSED_ON = (
+    "client.id",
+    "client.dns.lookup",
+    "request.timeout.ms",
+    "retry.backoff.ms",
+    "reconnect.backoff.ms",
+    "reconnect.backoff.max.ms",
+    "metadata.max.age.ms",
+    "connections.max.idle.ms",
+    "compression.type",
+    "delivery.timeout.ms",
+    "max.in.flight.requests.per.connection",
+    "max.request.size",
+    "fetch.min.bytes",
+    "fetch.max.bytes",
+    "max.partition.fetch.bytes",
+    "session.timeout.ms",
+    "heartbeat.interval.ms",
+    "isolation.level",
+    "ssl.truststore.location",
+    "ssl.truststore.password",
+    "ssl.truststore.type",
+    "ssl.truststore.certificates",
+    "ssl.keystore.location",
+    "ssl.keystore.password",
+    "ssl.keystore.type",
+    "ssl.key.password",
+    "ssl.endpoint.identification.algorithm",
+)
+# Spark decides these, or another function reads them.
+_MANAGED = frozenset(
+    {
+        "sasl.username",
+        "sasl.password",
+        "auto.offset.reset",
+        "enable.auto.commit",
+        "group.id",
+        "queue.buffering.max.kbytes",
+        "key.serializer",
+        "value.serializer",
+        "key.deserializer",
+        "value.deserializer",
+    }
+)
 _SECRET_MARKS = ("password", "jaas", "secret", "connection.uri", "connection.string")
 
 
@@ -57,16 +109,25 @@ def whole_number(section: Mapping[str, str], key: str, minimum: int = 1) -> int:
 
 
 def _connection(section: Mapping[str, str]) -> dict[str, str]:
+    section = {_SAME_KEYS.get(key, key): value for key, value in section.items()}
     if not section.get("bootstrap.servers"):
         raise SettingsError("bootstrap.servers is missing")
+    known = {*_SHARED_KEYS, *_WRITER_KEYS, *_PASSED_ON, *_MANAGED}
+    unknown = sorted(set(section) - known)
+    if unknown:
+        raise SettingsError(f"no Spark option for {', '.join(unknown)}")
     options = {new: section[old] for old, new in _SHARED_KEYS.items() if old in section}
+    options |= {f"kafka.{key}": section[key] for key in _PASSED_ON if key in section}
     user, password = section.get("sasl.username"), section.get("sasl.password")
     if (user is None) != (password is None):
         raise SettingsError("sasl.username and sasl.password go together")
     if user is not None:
+        mechanism = section.get("sasl.mechanisms", "PLAIN")
+        if mechanism not in _LOGIN_MODULES:
+            raise SettingsError(f"no login module for sasl.mechanisms {mechanism!r}")
         quoted = [part.replace("\\", "\\\\").replace('"', '\\"') for part in (user, password)]
         options["kafka.sasl.jaas.config"] = (
-            "org.apache.kafka.common.security.plain.PlainLoginModule required "
+            f"{_LOGIN_MODULES[mechanism]} required "
             f'username="{quoted[0]}" password="{quoted[1]}";'
         )
     return options
@@ -97,6 +158,9 @@ def reader_options(
         raise SettingsError("enable.auto.commit must be false: the checkpoint keeps progress")
     options = _connection(section)
     options["subscribe"] = topic
+    # Spark commits to no group; a broker that permits groups by name sees this prefix.
+    if section.get("group.id"):
+        options["groupIdPrefix"] = section["group.id"]
     options["startingOffsets"] = start
     options["includeHeaders"] = "true"
     options["failOnDataLoss"] = "true"
@@ -151,8 +215,9 @@ def document_store_options(section: Mapping[str, str]) -> dict[str, str]:
     return options
 
 
-# A poll bounds the memory of one client; a batch is spread over executors.
-POLLS_PER_BATCH = 1_000
+# How many polls of a client one batch stands for. A batch is spread over executors,
+# so callers with many of them ask for more.
+POLLS_PER_BATCH = 1
 
 
 def _polled(

@@ -7,17 +7,37 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+_QUERY_ID = "sql.streaming.queryId"
+
 
 @dataclass(frozen=True)
 class FolderSink:
-    """One folder per micro-batch; a replayed batch replaces its own folder."""
+    """One folder per query and micro-batch.
+
+    Batches are numbered from 0 under every new checkpoint, so the query's id, which
+    the checkpoint keeps, is part of the folder: another run never touches what this
+    one stored. A batch is written aside, where readers do not look, and appears by
+    one rename when it is complete. A replay finds it there and changes nothing.
+    """
 
     path: str
     fmt: str = "parquet"
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        folder = f"{self.path}/batch_id={batch_id}"
-        batch.write.format(self.fmt).mode("overwrite").save(folder)
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+        aside = f"{self.path}/_unfinished/{query}-{batch_id}"
+        batch.write.format(self.fmt).mode("overwrite").save(aside)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        source = hadoop.Path(aside)
+        target = hadoop.Path(f"{self.path}/query_id={query}/batch_id={batch_id}")
+        files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if files.exists(target):
+            files.delete(source, True)
+            return
+        files.mkdirs(target.getParent())
+        if not files.rename(source, target):
+            raise OSError(f"batch {batch_id} could not be moved to {target}")
 
 
 @dataclass(frozen=True)

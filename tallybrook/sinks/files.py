@@ -6,14 +6,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tallybrook.sources.files import CSV_OPTIONS, csv_texts
+
+# A CSV file whose texts may hold line breaks is read by one task.
+_CSV_RECORDS = 1_000_000
 
 def write_files(
     df: DataFrame, path: str, fmt: str, options: Mapping[str, str] | None = None
 ) -> None:
     """Write ``avro`` (needs Spark's module), ``orc``, ``parquet``, ``json`` or ``csv``."""
+    if fmt == "csv":
+        df = csv_texts(df, read=False)
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", "true")
+        written = {key: value for key, value in CSV_OPTIONS.items() if key != "multiLine"}
+        writer = writer.options(**written).option("maxRecordsPerFile", _CSV_RECORDS)
     writer.options(**(options or {})).save(path)
 
 
@@ -23,13 +30,15 @@ def write_partitioned_json(
     partition_by: Sequence[str],
     records_per_file: int | None = None,
     *,
-    rebalance: bool = True,
+    rebalance: bool = False,
 ) -> None:
     """JSON lines in ``column=value`` folders, with a cap on the records of a file.
 
-    Rebalancing first brings the rows of a folder together, so that the number
-    of files follows the data and not tasks x folders; adaptive execution splits
-    the partition of a folder that holds much of the table over several tasks.
+    Files are written straight from the tasks that hold the rows, at least one for
+    each task and folder. With many folders these are many small files: ``rebalance``
+    then brings the rows of a folder together first, in a shuffle of the whole table,
+    and adaptive execution splits a folder that holds much of it over several tasks.
+    An empty text in a folder column is read back as NULL.
     """
     if rebalance:
         df = df.hint("rebalance", *partition_by)
@@ -46,6 +55,7 @@ def write_two_formats(
     partition_by: Sequence[str],
     records_per_file: int | None = None,
     columnar: str = "avro",
+    rebalance: bool = False,
 ) -> None:
     """Columnar files, then partitioned JSON made from them.
 
@@ -53,4 +63,6 @@ def write_two_formats(
     """
     write_files(df, columnar_path, columnar)
     stored = df.sparkSession.read.schema(df.schema).format(columnar).load(columnar_path)
-    write_partitioned_json(stored, json_path, partition_by, records_per_file)
+    write_partitioned_json(
+        stored, json_path, partition_by, records_per_file, rebalance=rebalance
+    )

@@ -5,7 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+#: How CSV is written and read so that every text comes back: blanks and line breaks
+#: stay, quotes are doubled, and NULL has a mark, or it would be an empty text.
+CSV_OPTIONS = {
+    "header": "true",
+    "nullValue": r"\N",
+    "emptyValue": "",
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# Formats whose files name their columns.
+_WITH_NAMES = ("parquet", "orc")
 
 
 def read_files(
@@ -22,16 +37,36 @@ def read_files(
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.options(**CSV_OPTIONS)
         if schema is None:
             reader = reader.option("inferSchema", "true")
     if schema is not None:
+        if fmt in _WITH_NAMES:
+            _check_names(spark, path, fmt, schema)
         reader = reader.schema(schema)
     df = reader.options(**(options or {})).load(path)
     if isinstance(schema, StructType):
         # Partition columns are otherwise moved to the end.
         df = df.select(*schema.fieldNames())
-    return df
+    return csv_texts(df, read=True) if fmt == "csv" else df
+
+
+def csv_texts(df: DataFrame, read: bool) -> DataFrame:
+    r"""Texts that look like the NULL mark get one more backslash in a CSV file."""
+    find, put = (r"^\\(\\+N)$", "$1") if read else (r"^(\\+N)$", r"\\$1")
+    texts = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    return df.withColumns({name: F.regexp_replace(F.col(f"`{name}`"), find, put) for name in texts})
+
+
+def _check_names(
+    spark: SparkSession, path: str | list[str], fmt: str, schema: StructType | str
+) -> None:
+    """A column that a file lacks would be read as NULL throughout."""
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    there = {name.lower() for name in spark.read.format(fmt).load(path).columns}
+    missing = [name for name in wanted.fieldNames() if name.lower() not in there]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
 
 
 def file_stream(

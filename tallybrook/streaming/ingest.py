@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tallybrook.functions import as_text, is_document, json_values
+from tallybrook.functions import (
+    as_text,
+    flat_document,
+    is_document,
+    json_values,
+    over_parser_limits,
+)
 from tallybrook.sinks.batches import ConnectorSink, FolderSink
 
 log = logging.getLogger(__name__)
@@ -36,7 +42,12 @@ def judged(messages: DataFrame, variant: bool = True) -> DataFrame:
     fault = (
         F.when(value.isNull(), "no value")
         .when(text.isNull(), "not UTF-8 text")
-        .when(~is_document(text, values), "not a JSON object")
+        .when(
+            ~is_document(text, values),
+            F.when(over_parser_limits(text), "beyond the limits of the JSON parser").otherwise(
+                "not a JSON object"
+            ),
+        )
     )
     # One projection per step, so that each text is decoded and parsed once.
     parsed = messages.withColumn(_TEXT, as_text(value)).withColumn(_VALUES, json_values(text))
@@ -66,6 +77,16 @@ def to_documents(checked: DataFrame, schema: StructType | None = None) -> DataFr
     return typed.select(*_POSITION, "fields.*")
 
 
+def to_flat_documents(checked: DataFrame) -> DataFrame:
+    """Sound messages as lines of JSON in ``value``, for a text sink.
+
+    Each is the object itself, with the message position as its field ``_position``.
+    """
+    sound = checked.filter(F.col(_FAULT).isNull())
+    position = F.struct(*_POSITION)
+    return sound.select(flat_document(as_text(F.col("value")), position).alias("value"))
+
+
 def to_dead_letters(checked: DataFrame) -> DataFrame:
     """Faulty messages: key and value as they came, the reason and origin as headers.
 
@@ -114,17 +135,23 @@ def start_ingest(
     *,
     metrics: FolderSink | None = None,
     schema: StructType | None = None,
+    flat: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start storing.
 
+    ``flat`` stores JSON lines that are the objects themselves and their position, for a
+    sink of format ``text``; otherwise ``schema`` says what the documents' columns are.
+
     A batch counts as done only after all its outputs are written; if one fails
     the query stops, and a restart writes the same batch under the same id.
     ``metrics`` receives one row per batch with what came in and where it went.
     """
 
     # Connectors have no VARIANT type.
-    variant = schema is None and isinstance(documents, FolderSink)
+    variant = schema is None and not flat and isinstance(documents, FolderSink)
+    if flat and (schema is not None or documents.fmt != "text"):
+        raise ValueError("flat documents are lines of text without a schema")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # All outputs come from one read and one parse of the batch.
@@ -140,7 +167,8 @@ def start_ingest(
         )
         try:
             dead_letters.write(to_dead_letters(checked), batch_id)
-            documents.write(to_documents(counted, schema), batch_id)
+            made = to_flat_documents(counted) if flat else to_documents(counted, schema)
+            documents.write(made, batch_id)
             counts = seen.get
             if metrics is not None:
                 row = tuple(counts[name] for name in _COUNTS)
