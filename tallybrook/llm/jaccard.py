@@ -22,7 +22,7 @@ from tallybrook.llm.shingles import WordHashes, shingle_set, split_words
 from tallybrook.scratch import written
 
 SHINGLE, PERCENT = 3, 90
-_SETS = "doc_id long, node long, n int, n_low int, keys array<long>"
+_SETS = "doc_id long, node long, n int, n_low int, keys array<long>, parity array<long>"
 _GRAMS = "node long, grams array<long>"
 
 
@@ -30,6 +30,19 @@ def _node(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63
 
 
+#: Bits of a set's parity sketch, a multiple of 64.
+_BITS = 512
+
+
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """Per bit, whether an odd number of shingles falls to it.
+
+    Two sketches differ in no more bits than the sets have shingles of one only.
+    """
+    odd = np.bincount((grams & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _probe_length(n: int, percent: int) -> int:
     return n + 1 - -(-percent * n // 100)
 
@@ -52,8 +65,8 @@ def _sets(length: int, percent: int):
                 n = len(grams)
                 n_low = int(np.searchsorted(grams, low))
                 keys = grams[:n_low] if n_low >= _probe_length(n, percent) else grams
-                rows.append((doc_id, _node(grams), n, n_low, keys.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "node", "n", "n_low", "keys"])
+                rows.append((doc_id, _node(grams), n, n_low, keys.view(np.int64), _parity(grams)))
+            yield pd.DataFrame(rows, columns=["doc_id", "node", "n", "n_low", "keys", "parity"])
 
     return run
 
@@ -78,13 +91,13 @@ def _linked(both: Column, n: Column, m: Column, percent: int) -> Column:
 
 
 def _index_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, node, n, pos, stored`` for the shingles that come first in the common order.
+    """``key, node, n, pos, typical, stored`` for the shingles that come first in the common order.
 
     The order puts low numbers first, then shingles that few sets have. A shingle that
     no other set was indexed with takes its place in the order and needs no row. Of two
     sets that reach the threshold, the larger has one of its first (1 - t) n + 1
     shingles among the first (1 - t) / (1 + t) n + 1 of the smaller; ``stored`` marks
-    the latter.
+    the latter. ``typical`` tells how widely a set's shingles are shared.
     """
     low = int(2**64 * min(0.9, 1.8 * (100 - percent) / 100)) - 2**63
     # As signed numbers the low half of the unsigned ones begins at 0.
@@ -95,6 +108,7 @@ def _index_rows(sets: DataFrame, percent: int) -> DataFrame:
     per = shared.groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("high", "df", "key"))).alias("shared"),
         F.sum(F.col("high")).alias("n_high"),
+        F.sum(F.log2("df")).alias("typical"),
     )
     stored = sets.select("node", "n", "n_low", F.size("keys").alias("kept"))
     joined = per.join(stored, "node")
@@ -103,14 +117,20 @@ def _index_rows(sets: DataFrame, percent: int) -> DataFrame:
         F.col("kept") - F.size("shared")
     )
     placed = joined.withColumn("alone_low", alone_low).select(
-        "node", "n", "alone_low", "kept", "shared", F.posexplode("shared").alias("at", "item")
+        "node",
+        "n",
+        "alone_low",
+        "kept",
+        "shared",
+        (F.col("typical") / F.col("kept")).alias("typical"),
+        F.posexplode("shared").alias("at", "item"),
     )
     placed = placed.withColumn("pos", (F.col("at") + alone).cast("int"))
     n = F.col("n")
     probe = n + 1 - F.ceil(n * percent / 100)
     stored_to = n + 1 - F.ceil(n * (2 * percent) / (100 + percent))
     return placed.filter(F.col("pos") < probe).select(
-        F.col("item.key").alias("key"), "node", "n", "pos", (F.col("pos") < stored_to).alias("stored")
+        F.col("item.key").alias("key"), "node", "n", "pos", "typical", (F.col("pos") < stored_to).alias("stored")
     )
 
 
@@ -123,26 +143,79 @@ def _checked(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_linked(both, F.size("grams_a"), F.size("grams_b"), percent)).select("a", "b")
 
 
-def _star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Each set with the least and the greatest of its block and size class: no more pairs than rows."""
+def _differing(one: Column, other: Column) -> Column:
+    """Bits in which two sketches differ."""
+    bits = [F.bit_count(one[i].bitwiseXOR(other[i])) for i in range(_BITS // 64)]
+    return sum(bits[1:], start=bits[0])
+
+
+def _allowed(n: Column, m: Column, percent: int) -> Column:
+    """Shingles of only one of two sets, at most, where the sets reach the threshold."""
+    return n + m - 2 * F.ceil(percent * (n + m) / (100 + percent))
+
+
+def _star_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Each set with the centres of its blocks among like sizes: a few pairs for a row.
+
+    The first centre of a block is the set with the most widely shared shingles. Where
+    most sets around it differ from it in the same bits of the sketch, these are its own
+    changes; without them its sketch is that of what all were copied from. The set
+    nearest to this is the second centre: copies with changes at different places are
+    nearer to it than to each other.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent))
-    banded = rows.withColumn("band", band)
-    ends = banded.groupBy("key", "band").agg(
-        F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high")
+    banded = rows.select("key", "node", "n", "typical", band.alias("band"))
+    centres = banded.groupBy("key", "band").agg(F.max(F.struct("typical", "node", "n")).alias("centre"))
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    centres = centres.select("key", near.alias("band"), "centre")
+    stars = banded.join(centres, ["key", "band"]).select(
+        "node", "n", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m")
+    )
+    stars = stars.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+    stars = stars.join(sketches, "node").join(
+        sketches.select(F.col("node").alias("centre"), F.col("parity").alias("middle")), "centre"
+    )
+    differing = _differing(F.col("parity"), F.col("middle"))
+    allowed = _allowed(F.col("n"), F.col("m"), percent)
+    stars = stars.withColumn("differing", differing).filter(F.col("differing") <= 3 * allowed)
+    stars = written(stars, "stars")
+    # Bits by which most of a star differ from its centre.
+    place = F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1)))
+    word, bit = F.floor(F.col("place") / 64).cast("int"), F.col("place") % 64
+    changes = F.transform(F.sequence(F.lit(0), F.lit(_BITS // 64 - 1)), lambda i: F.get("parity", i).bitwiseXOR(F.get("middle", i)))
+    odd = stars.withColumn("changes", changes).select("centre", "changes", place.alias("place"))
+    odd = odd.filter(F.getbit(F.get("changes", word), bit) == 1)
+    often = odd.groupBy("centre", "place").agg(F.count(F.lit(1)).alias("times"))
+    sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("size"))
+    own = often.join(sizes, "centre").filter(2 * F.col("times") > F.col("size"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    fixes = own.groupBy("centre").agg(
+        F.array(*[F.sum(F.when(word == i, mask).otherwise(0)) for i in range(_BITS // 64)]).alias("fix")
     )
-    ends = ends.filter(F.col("low.node") != F.col("high.node"))
-    joined = banded.join(ends, ["key", "band"])
-    centre = F.explode(F.array_distinct(F.array("low", "high")))
-    pairs = joined.select("node", "n", centre.alias("centre")).filter("node <> centre.node")
-    pairs = pairs.filter(100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n"))
-    return pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
+    fixed = stars.join(fixes, "centre")
+    origin = F.transform(F.sequence(F.lit(0), F.lit(_BITS // 64 - 1)), lambda i: F.get("middle", i).bitwiseXOR(F.get("fix", i)))
+    fixed = fixed.withColumn("origin", origin)
+    nearest = fixed.groupBy("centre").agg(
+        F.min(F.struct(_differing(F.col("parity"), F.col("origin")).alias("far"), "node", "n", "parity")).alias("best")
+    )
+    nearest = nearest.select("centre", F.col("best.node").alias("c"), F.col("best.n").alias("l"), F.col("best.parity").alias("p"))
+    second = stars.join(nearest, "centre").filter(
+        _differing(F.col("parity"), F.col("p")) <= _allowed(F.col("n"), F.col("l"), percent)
+    )
+    first = stars.filter(F.col("differing") <= allowed).select("node", F.col("centre").alias("c"))
+    pairs = first.unionByName(second.select("node", "c")).filter("node <> c")
+    return pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
 
 
-def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a block that the bounds leave and that aren't joined up yet."""
+def _open_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a block that the bounds leave and that aren't joined up yet.
+
+    Sets that reach the threshold differ in at most n + m - 2 * (overlap that is
+    needed) shingles, and so do their sketches in bits.
+    """
     mixed = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    left = rows.join(mixed.select("key"), "key", "left_semi")
-    columns = ["node", "n", "pos", "component"]
+    left = rows.join(mixed.select("key"), "key", "left_semi").join(sketches, "node")
+    columns = ["node", "n", "pos", "component", "parity"]
     small = left.filter("stored").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = left.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
     n, m = F.col("n_a"), F.col("n_b")
@@ -154,6 +227,7 @@ def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
         & ((n < m) | ((n == m) & (F.col("node_a") < F.col("node_b"))))
         & (100 * n >= percent * m)
         & (most >= needed)
+        & (_differing(F.col("parity_a"), F.col("parity_b")) <= _allowed(n, m, percent))
     )
     pairs = small.join(large, "key").filter(rule)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
@@ -170,8 +244,8 @@ def similar_documents(
     have no shingle and link with nothing, nor do rows without an id. Sets go by 64-bit
     hashes of shingles and of whole sets.
 
-    First every set is compared with two sets of each block, which joins up groups of
-    copies with as many comparisons as rows. Then all pairs of a block that are still
+    First every set is compared with the centres of its blocks, which joins up groups of
+    copies with about as many comparisons as rows. Then all pairs of a block that are still
     apart are compared. No candidate is left out: a block without two components has
     no pair whose link could change a component.
     """
@@ -183,6 +257,7 @@ def similar_documents(
         F.first("n").alias("n"),
         F.first("n_low").alias("n_low"),
         F.first("keys").alias("keys"),
+        F.first("parity").alias("parity"),
     )
     sets = written(sets, "nodes")
     rows = written(_index_rows(sets, percent), "index")
@@ -193,11 +268,12 @@ def similar_documents(
     full = texts.join(wanted, F.col("doc_id") == F.col("least")).select("node", "text")
     grams = full.mapInPandas(_grams(length), _GRAMS).dropDuplicates(["node"])
     grams = written(grams, "grams")
-    links = written(_checked(_star_pairs(rows, percent), grams, percent), "star-links")
+    sketches = sets.select("node", "parity")
+    links = written(_checked(_star_pairs(rows, sketches, percent), grams, percent), "star-links")
     first = written(components(links), "components")
     part = F.coalesce("component", "node").alias("component")
     tagged = rows.join(first, "node", "left").select("key", "node", "n", "pos", "stored", part)
-    more = written(_checked(_open_pairs(tagged, percent), grams, percent), "open-links")
+    more = written(_checked(_open_pairs(tagged, sketches, percent), grams, percent), "open-links")
     tree = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     joined = written(components(tree.unionByName(more)), "components")
     named = joined.join(sets.select("node", "least"), "node")
