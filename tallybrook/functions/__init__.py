@@ -8,7 +8,7 @@ from tallybrook.functions.documents import (
     json_values,
     over_parser_limits,
 )
-from tallybrook.functions.sums import EXACT, exact, exact_mean, exact_sum
+from tallybrook.functions.sums import EXACT, exact, exact_mean, exact_sum, is_floating
 from tallybrook.functions.text import first_number, in_words, parsed_date, text_year
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "header_text",
     "in_words",
     "is_document",
+    "is_floating",
     "json_values",
     "over_parser_limits",
     "parsed_date",

@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 #: Six digits after the point and eighteen before it.
 EXACT = "decimal(24,6)"
 
 
-def exact(value: Column | str) -> Column:
-    """A number as DECIMAL, so that adding it up is exact in any order.
+def is_floating(df: DataFrame, value: Column | str) -> bool:
+    kind = df.select(value).schema[0].dataType
+    return isinstance(kind, (DoubleType, FloatType))
 
-    Numbers are rounded to six digits after the point. NaN, infinity and numbers of
-    more than eighteen digits before it become NULL, which sums and means pass over.
+
+def exact(df: DataFrame, value: Column | str) -> Column:
+    """A column of ``df`` as what can be added up in any order.
+
+    Floating-point numbers become DECIMAL, rounded to six digits after the point.
+    NaN, infinity and numbers of more than eighteen digits before it become NULL, which
+    sums and means pass over. Whole and DECIMAL numbers stay as they are.
     """
-    return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
+    column = F.col(value) if isinstance(value, str) else value
+    return column.try_cast(EXACT) if is_floating(df, column) else column
 
 
-def exact_sum(value: Column | str, digits: int = 2) -> Column:
-    """The exact sum as a double, rounded once at the end."""
-    return F.round(F.sum(exact(value)).cast("double"), digits)
+def exact_sum(df: DataFrame, value: Column | str, digits: int = 2) -> Column:
+    """The sum, rounded once at the end; a double where the values are."""
+    total = F.sum(exact(df, value))
+    return F.round(total.cast("double") if is_floating(df, value) else total, digits)
 
 
-def exact_mean(value: Column | str) -> Column:
-    """The exact sum over the number of values that took part."""
-    number = exact(value)
+def exact_mean(df: DataFrame, value: Column | str) -> Column:
+    """The sum over the number of values that took part."""
+    number = exact(df, value)
+    if not is_floating(df, value):
+        return F.avg(number)
     return F.try_divide(F.sum(number).cast("double"), F.count(number))

@@ -31,13 +31,13 @@ def summarise_sales(
     Sums and means are those of :func:`exact`, so they do not depend on the order of
     the rows; NaN and infinity take no part. ``price_digits`` rounds the mean.
     """
-    mean = exact_mean(price)
+    mean = exact_mean(lines, price)
     measures = {
         "num_records": F.count(F.lit(1)),
-        "total_quantity": exact_sum(quantity, 6),
+        "total_quantity": exact_sum(lines, quantity, 6),
         "avg_price": mean if price_digits is None else F.round(mean, price_digits),
         "num_invoices": F.count_distinct(F.col(invoice)),
-        "invoice_value": exact_sum(F.col(quantity) * F.col(price)),
+        "invoice_value": exact_sum(lines, F.col(quantity) * F.col(price)),
     }
     return _grouped(lines, keys, measures, wanted)
 
@@ -56,8 +56,8 @@ def per_invoice(
     grouping and the join share that one exchange.
     """
     return lines.groupBy(invoice).agg(
-        F.sum(exact(quantity)).alias("InvoiceQuantity"),
-        F.sum(exact(F.col(quantity) * F.col(price))).alias("InvoiceValue"),
+        F.sum(exact(lines, quantity)).alias("InvoiceQuantity"),
+        F.sum(exact(lines, F.col(quantity) * F.col(price))).alias("InvoiceValue"),
     )
 
 

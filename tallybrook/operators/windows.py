@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallybrook.functions import exact
+from tallybrook.functions import exact, is_floating
 
 _RANK, _TERM, _PREVIOUS = "_seed_rank", "_seed_term", "_previous"
 _CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
@@ -149,17 +149,19 @@ def add_growth(
     """Add the growth over the previous row in percent and the running sum.
 
     Growth is 0 where the value or the previous one is NULL and NULL where the
-    previous one is 0. The running sum is that of :func:`exact`, and a double. Both
-    results are rounded to 2 digits.
+    previous one is 0. The running sum is exact, and a double where the values are.
+    Both results are rounded to 2 digits.
     """
-    seeded, cut = _seeded(df, keys, order, slices, exact(value), value)
+    seeded, cut = _seeded(df, keys, order, slices, exact(df, value), value)
     along = W.partitionBy(*cut).orderBy(_RANK, *order)
     upto = along.rowsBetween(W.unboundedPreceding, 0)
     now, previous = F.col(value), F.col(_PREVIOUS)
     change = F.round(F.try_divide(now - previous, previous) * 100, 2)
+    running = F.sum(_TERM).over(upto)
+    running = running.cast("double") if is_floating(df, value) else running
     # A column of its own, so that the window works out the previous row once.
     windowed = seeded.withColumns(
-        {_PREVIOUS: F.lag(value).over(along), total: F.round(F.sum(_TERM).over(upto).cast("double"), 2)}
+        {_PREVIOUS: F.lag(value).over(along), total: F.round(running, 2)}
     )
     return _unseeded(
         windowed.withColumn(

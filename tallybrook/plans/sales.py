@@ -89,12 +89,13 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("Name"), "o_totalprice"
     )
     # Three rows, whatever the size of the orders.
+    value = exact_sum(orders, "o_totalprice")
     return (
         orders.join(F.broadcast(named), "Name", "inner")
         .groupBy("Name", "Age")
         .agg(
             F.count(F.lit(1)).alias("num_records"),
-            exact_sum("o_totalprice").alias("order_value"),
+            value.alias("order_value"),
         )
     )
 

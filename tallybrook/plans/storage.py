@@ -67,7 +67,7 @@ _FOLDERS = ["l_returnflag", "l_linestatus"]
 def _per_folder(stored: DataFrame, cap: int) -> DataFrame:
     """Totals per folder, files over the cap, and whether there are files enough to keep it."""
     per_file = stored.groupBy(*_FOLDERS, F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows_in_file"), F.sum(exact("l_extendedprice")).alias("price")
+        F.count(F.lit(1)).alias("rows_in_file"), F.sum(exact(stored, "l_extendedprice")).alias("price")
     )
     return per_file.groupBy(*_FOLDERS).agg(
         F.sum("rows_in_file").alias("num_rows"),
@@ -99,10 +99,12 @@ def two_formats_roundtrip(
     write_two_formats(lines, f"{path}/columnar", f"{path}/json", _FOLDERS, cap, columnar)
     first = read_files(spark, f"{path}/columnar", columnar, lines.schema)
     totals = first.groupBy(*_FOLDERS).agg(
-        F.count(F.lit(1)).alias("columnar_rows"), exact_sum("l_extendedprice").alias("columnar_price")
+        F.count(F.lit(1)).alias("columnar_rows"), exact_sum(first, "l_extendedprice").alias("columnar_price")
     )
     second = spark.read.schema(lines.schema).json(f"{path}/json")
-    return _per_folder(second, cap).join(totals, _FOLDERS)
+    totals = totals.withColumnsRenamed({name: f"{name}_c" for name in _FOLDERS})
+    same = [F.col(name).eqNullSafe(F.col(f"{name}_c")) for name in _FOLDERS]
+    return _per_folder(second, cap).join(totals, same).drop(*[f"{name}_c" for name in _FOLDERS])
 
 
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,8 +131,8 @@ def country_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country, WeekNumber (the week's Monday), InvoiceValue; unique per country and week."""
+    orders = country_orders(spark, sf_dir)
     return (
-        country_orders(spark, sf_dir)
-        .groupBy("Country", F.trunc("order_day", "week").alias("WeekNumber"))
-        .agg(exact_sum("InvoiceValue").alias("InvoiceValue"))
+        orders.groupBy("Country", F.trunc("order_day", "week").alias("WeekNumber"))
+        .agg(exact_sum(orders, "InvoiceValue").alias("InvoiceValue"))
     )

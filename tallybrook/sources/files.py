@@ -13,7 +13,6 @@ from pyspark.sql.types import StringType, StructType
 CSV_OPTIONS = {
     "header": "true",
     "nullValue": r"\N",
-    "emptyValue": "",
     "escape": '"',
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",

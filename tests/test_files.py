@@ -38,6 +38,21 @@ def test_round_trip_with_schema(sample, tmp_path, fmt):
     assert _rows(back) == _rows(sample)
 
 
+def test_csv_keeps_every_text(spark, tmp_path):
+    texts = [" lead", "trail ", "a\nb", "a\rb", "a\r\nb", r"\N", r"\\N", r"x\N", "", None, '"', 'a","b', "\\", '\\"', ",", "\t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    write_files(df, str(tmp_path / "out"), "csv")
+    back = read_files(spark, str(tmp_path / "out"), "csv", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(enumerate(texts))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_a_missing_column_is_an_error(spark, sample, tmp_path, fmt):
+    write_files(sample.drop("v"), str(tmp_path / "out"), fmt)
+    with pytest.raises(ValueError, match="no column v"):
+        read_files(spark, str(tmp_path / "out"), fmt, sample.schema)
+
+
 def test_sinks_replace_their_folder(sample, tmp_path):
     for _ in range(2):
         write_files(sample, str(tmp_path / "out"), "parquet")
@@ -65,7 +80,7 @@ def test_partitioned_json(spark, tmp_path):
         (F.col("id") % 3).alias("b"),
     )
     path = str(tmp_path / "out")
-    write_partitioned_json(df, path, ["a", "b"], 100)
+    write_partitioned_json(df, path, ["a", "b"], 100, rebalance=True)
     files = glob.glob(f"{path}/a=*/b=*/*.json")
     sizes = [sum(1 for _ in open(name)) for name in files]
     assert sum(sizes) == 1000 and max(sizes) == 100
@@ -82,7 +97,7 @@ def test_partitioned_json(spark, tmp_path):
 def test_rebalancing_saves_files(spark, tmp_path):
     df = spark.range(0, 1000, 1, 8).withColumn("a", F.col("id") % 6)
     write_partitioned_json(df, str(tmp_path / "as_is"), ["a"], rebalance=False)
-    write_partitioned_json(df, str(tmp_path / "rebalanced"), ["a"])
+    write_partitioned_json(df, str(tmp_path / "rebalanced"), ["a"], rebalance=True)
     counts = [len(glob.glob(f"{tmp_path}/{name}/a=*/*.json")) for name in ("as_is", "rebalanced")]
     assert counts == [48, 6]
 
@@ -94,7 +109,7 @@ def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "100k")
     try:
-        write_partitioned_json(df, str(tmp_path / "out"), ["a"])
+        write_partitioned_json(df, str(tmp_path / "out"), ["a"], rebalance=True)
     finally:
         spark.conf.set(key, before)
     assert len(glob.glob(f"{tmp_path}/out/a=hot/*.json")) > 3

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from compare import SF_DIR, duckdb_rows, normalised
+from tallybrook.plans.catalog import QUERIES
 from tallybrook.plans.tables import SCHEMAS, table
 
-BATCH = sorted(name for name in contract.queries() if not name.startswith("stream_"))
-STREAMS = sorted(name for name in contract.queries() if name.startswith("stream_"))
+BATCH = sorted(name for name in QUERIES if not name.startswith("stream_"))
+STREAMS = sorted(name for name in QUERIES if name.startswith("stream_"))
 
 
 def _changed(df, changes):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import SF_DIR
+from tallybrook.plans.catalog import QUERIES
 
 
 @pytest.fixture
@@ -24,7 +25,7 @@ def plan(spark):
     spark.conf.set(key, before)
 
 
-BATCH = sorted(name for name in contract.queries() if not name.startswith("stream_"))
+BATCH = sorted(name for name in QUERIES if not name.startswith("stream_"))
 
 
 @pytest.mark.parametrize("name", BATCH)

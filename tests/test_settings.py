@@ -49,9 +49,35 @@ def test_reader_options():
         "minOffsetsPerTrigger": "500",
         "maxTriggerDelay": "5s",
         "minPartitions": "64",
+        "groupIdPrefix": "g",
     }
 
 
+@pytest.mark.parametrize(
+    ("mechanism", "module"),
+    [("PLAIN", "plain.Plain"), ("SCRAM-SHA-256", "scram.Scram"), ("SCRAM-SHA-512", "scram.Scram")],
+)
+def test_login_module_by_mechanism(mechanism, module):
+    options = reader_options(layered(CLUSTER, {"sasl.mechanisms": mechanism}), "in")
+    jaas = options["kafka.sasl.jaas.config"]
+    assert jaas.startswith(f"org.apache.kafka.common.security.{module}LoginModule required ")
+    assert options["kafka.sasl.mechanism"] == mechanism
+
+
+def test_unknown_mechanisms_and_settings_are_errors():
+    with pytest.raises(SettingsError, match="GSSAPI"):
+        reader_options(layered(CLUSTER, {"sasl.mechanisms": "GSSAPI"}), "in")
+    with pytest.raises(SettingsError, match="ssl.ca.location"):
+        reader_options(layered(CLUSTER, {"ssl.ca.location": "/x"}), "in")
+
+
+def test_known_settings_are_passed_on():
+    section = layered(CLUSTER, {"isolation.level": "read_committed", "ssl.truststore.password": "s"})
+    options = reader_options(section, "in")
+    assert options["kafka.isolation.level"] == "read_committed"
+    assert redacted(options)["kafka.ssl.truststore.password"] == "***"
+
+
 def test_reader_starts_at_the_latest_and_has_no_bounds_unless_told():
     options = reader_options({"bootstrap.servers": "one:9092"}, "in")
     assert options["startingOffsets"] == "latest"

@@ -4,6 +4,7 @@ The Kafka and document store connectors are not installed here; their options
 are tested in test_settings.
 """
 
+import json
 import logging
 import time
 
@@ -134,6 +135,33 @@ def test_batch_that_failed_after_its_write_is_replayed(spark, inbox, places):
     assert [row[0] for row in places.metrics_rows(spark)] == [0, 1, 2]
 
 
+def test_another_checkpoint_keeps_what_is_stored(spark, inbox, tmp_path):
+    first, second = Places(tmp_path / "out"), Places(tmp_path / "out")
+    first.run(spark, inbox)
+    _add_file(spark, tmp_path / "more", "part=0", range(200, 210))
+    second.checkpoint = f"{tmp_path}/out/second-checkpoint"
+    second.run(spark, tmp_path / "more")
+    later = {i for i in range(200, 210) if i % 7 not in (3, 5)}
+    assert first.offsets(spark) == sorted(SOUND | later)
+
+
+def test_flat_documents_are_the_objects_and_their_position(spark, tmp_path):
+    texts = [b'{"a": {"b": [1, "x"]}, "n": 1.50}', b" {} ", b'{\n"t": "l\\n"\r\n}', b"[1]"]
+    rows = [(b"k", text, "in", 0, i, None, 0, None) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in/part=0"))
+    start_ingest(
+        _stream(spark, tmp_path / "in"),
+        FolderSink(f"{tmp_path}/documents", "text"),
+        FolderSink(f"{tmp_path}/dead"),
+        f"{tmp_path}/checkpoint",
+        UNTIL_READ,
+        flat=True,
+    ).awaitTermination()
+    lines = [row.value for row in spark.read.text(f"{tmp_path}/documents").collect()]
+    stored = {record.pop("_position")["offset"]: record for record in map(json.loads, lines)}
+    assert stored == {i: json.loads(texts[i]) for i in range(3)}
+
+
 def test_a_batch_of_faulty_messages_makes_progress(spark, tmp_path, places):
     _add_file(spark, tmp_path / "inbox", "part=0", [3, 5, 10, 12])
     places.run(spark, tmp_path / "inbox")
