@@ -28,14 +28,13 @@ def unescaped(text: Column) -> Column:
 
 def _escaped_role(role: Column) -> Column:
     # A role stands on a line of its own.
-    quoted = F.regexp_replace(role, r"\\", r"\\\\")
-    return escaped(F.regexp_replace(quoted, "\n", r"\\n"))
+    marked = F.replace(role, F.lit("%"), F.lit("%25"))
+    return escaped(F.replace(marked, F.lit("\n"), F.lit("%0A")))
 
 
 def _unescaped_role(role: Column) -> Column:
-    marked = F.regexp_replace(unescaped(role), r"\\\\", "\\\\\\\\\u0000")
-    lines = F.regexp_replace(marked, "\\\\n", "\n")
-    return F.regexp_replace(lines, "\\\\\u0000", r"\\")
+    lines = F.replace(unescaped(role), F.lit("%0A"), F.lit("\n"))
+    return F.replace(lines, F.lit("%25"), F.lit("%"))
 
 
 def final_messages(events: DataFrame) -> DataFrame:

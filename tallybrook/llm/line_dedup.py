@@ -13,6 +13,8 @@ RATIO = 0.1
 #: On fewer pages than this no line is boilerplate, whatever the ratio.
 LEAST_PAGES = 3
 
+_OF, _DROPPED = "__host_of_lines", "__dropped_lines"
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
@@ -65,28 +67,25 @@ def without_boilerplate(
     Lines are compared without the blanks around them. Blank lines are neither
     counted nor dropped. NULL hosts are one host. A NULL text stays NULL and a
     page may end up empty; no page is lost. Repeated rows count as pages of their
-    own. Other columns pass through.
+    own. Other columns pass through, but for earlier ``n_lines`` and ``n_dropped``.
     """
-    taken = set(pages.columns)
-    mark = next(x for x in ("dropped", "dropped_lines", "dropped_line_keys_") if x not in taken)
-    by = next(x for x in ("host", "host_of_lines", "host_of_lines_") if x not in taken)
     # Stored, so that the planner knows its size before it picks the join.
     known = written(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
-    known = known.select(F.col("host").alias(by), F.col("dropped").alias(mark))
-    joined = pages.join(known, F.col(host).eqNullSafe(F.col(by)), "left")
-    lines = _lines(F.col(text))
-    kept = F.filter(lines, lambda line: ~F.array_contains(F.col(mark), _key(line)) | (_bare(line) == ""))
-    trimmed = F.when(F.col(mark).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    filled = F.when(F.col(text).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(lines, lambda line: _bare(line) != ""))
+    known = known.select(F.col("host").alias(_OF), F.col("dropped").alias(_DROPPED))
+    joined = pages.join(known, F.col(f"`{host}`").eqNullSafe(F.col(_OF)), "left")
+    lines = _lines(F.col(f"`{text}`"))
+    kept = F.filter(
+        lines, lambda line: ~F.array_contains(F.col(_DROPPED), _key(line)) | (_bare(line) == "")
     )
-    left = F.size(F.filter(_lines(F.col("_kept")), lambda line: _bare(line) != ""))
-    return (
-        joined.withColumn("_kept", trimmed)
-        .withColumn("n_lines", filled)
-        .withColumn("n_dropped", F.when(F.col(text).isNull(), 0).otherwise(F.col("n_lines") - left))
-        .withColumn(text, F.col("_kept"))
-        .drop("_kept", mark, by)
+    kept = F.when(F.col(_DROPPED).isNull(), lines).otherwise(kept)
+    filled = F.size(F.filter(lines, lambda line: _bare(line) != ""))
+    others = [F.col(f"`{name}`") for name in pages.columns if name not in (text, "n_lines", "n_dropped")]
+    blank = F.col(f"`{text}`").isNull()
+    return joined.select(
+        *others,
+        F.array_join(kept, "\n").alias(text),
+        F.when(blank, 0).otherwise(filled).alias("n_lines"),
+        F.when(blank, 0).otherwise(F.size(lines) - F.size(kept)).alias("n_dropped"),
     )
 
 

@@ -249,6 +249,42 @@ LABELLED = """
 0 0 1   6 0.0  50 0.0  45 0.0  1
 0 0 1   2 0.0  60 0.0   3 1.0  0
 0 0 1   3 0.0   2 1.0   2 1.0  0
+0 0 0   1 1.0   1 1.0  40 0.0  0
+0 0 0   2 1.0   9 0.9  80 0.0  0
+0 0 0   3 0.9   2 1.0  30 0.0  0
+0 0 0   5 1.0   0 0.0  50 0.0  0
+0 0 0  50 0.0  30 0.0   1 1.0  1
+0 0 0  40 0.0   1 1.0  30 0.0  1
+0 0 0  90 0.0   1 1.0   1 1.0  1
+0 0 0  33 0.1   2 1.0  12 0.9  1
+0 1 0   1 0.0   3 1.0   3 1.0  1
+0 1 0   2 0.0   2 1.0   5 0.0  1
+0 1 0   2 0.0   7 0.0   2 1.0  1
+0 1 0   7 0.0   3 1.0   1 1.0  1
+0 1 0  14 0.0   2 1.0   9 0.0  1
+0 1 0  14 0.0   9 0.0   3 1.0  1
+0 1 0  25 0.0   1 1.0   1 1.0  1
+0 1 0  60 0.0   2 1.0   2 1.0  1
+0 1 0   1 1.0   2 1.0   2 1.0  1
+0 1 0   2 1.0   9 0.0   1 1.0  1
+0 1 0   4 1.0   1 1.0   8 0.0  1
+0 1 0  16 1.0   2 1.0   2 1.0  1
+0 1 1   2 0.0   2 1.0   2 1.0  1
+0 1 1   5 0.0   2 1.0  40 0.0  1
+1 0 0   1 0.0   8 0.0   8 0.0  0
+1 0 0   3 0.0  60 0.0  30 0.0  0
+1 0 0  12 0.0  60 0.0  30 0.0  0
+1 0 0  25 0.0  40 0.0  40 0.0  0
+1 0 0  26 0.0   1 1.0   1 1.0  0
+1 0 0  60 0.0  60 0.0  60 0.0  0
+1 0 0 150 0.0  20 0.0  90 0.0  0
+1 0 0  40 0.0  40 0.0   3 1.0  0
+1 1 0   2 0.0  30 0.0  30 0.0  0
+1 1 0  22 0.0   2 1.0   2 1.0  0
+1 1 0  30 0.0  30 0.0  30 0.0  0
+1 1 0  70 0.0  40 0.0  50 0.0  0
+1 1 1   4 0.0  20 0.0  20 0.0  0
+1 0 1   4 0.0  20 0.0  40 0.0  0
 """
 
 
