@@ -147,3 +147,19 @@ def test_header_text_takes_the_last_of_a_name(spark):
         header_text(F.col("headers"), "a").alias("a"), header_text(F.col("headers"), "z").alias("z")
     )
     assert sorted(map(tuple, found.collect()), key=repr) == [("3", None), (None, None)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"a":' + "9" * 1_100 + "}",
+        '{"a":' + "[" * 1_200 + "]" * 1_200 + "}",
+        '{"' + "k" * 60_000 + '":1}',
+        '{"a":"' + "x" * 21_000_000 + '"}',
+    ],
+    ids=["digits", "levels", "key", "string"],
+)
+def test_sound_documents_beyond_the_parser_are_named(spark, text):
+    df = spark.createDataFrame([(text.encode(),), (b"[1]",)], "value binary")
+    faults = [row.fault for row in judged(df).select("fault").collect()]
+    assert faults == ["beyond the limits of the JSON parser", "not a JSON object"]

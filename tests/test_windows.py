@@ -176,3 +176,10 @@ def test_a_hot_group_is_shuffled_in_slices(spark):
     assert "hashpartitioning(k#" in plan and ", _slice0#" in plan
     assert "SinglePartition" not in plan
     assert numbered.agg(F.max("RowNum")).first()[0] == 10_000
+
+
+@pytest.mark.parametrize("rows", [1_000, 50_000, 200_000])
+def test_slices_grow_with_the_rows(spark, rows):
+    cut = cut_evenly(spark.range(rows), "id", "slice", rows_per_slice=20)
+    sizes = cut.groupBy("slice").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] > rows / 40 and sizes[1] < 200
