@@ -26,45 +26,47 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mixed(value: Column, key: Column) -> Column:
-    """A number from 0 to 2**31 - 2 that depends on both, from whole-number arithmetic."""
-    first = (value % _PRIME * 48271 + key % _PRIME * 69621 + 12345) % _PRIME
-    return (first * first % _PRIME + first * 16807 + value % 65521 * 40692) % _PRIME
+_MULTIPLIERS = (1000003, 999983, 1000033)
+_ROUNDS = 4
 
 
-def permuted(place: Column, size: Column, key: Column, rounds: int = 16) -> Column:
+def permuted(place: Column, size: Column, key: Column) -> Column:
     """The image of ``place`` under a pseudorandom permutation of 0 to size - 1.
 
-    Each round of this swap-or-not shuffle pairs the places x and pivot - x and
-    swaps them or not, by a bit that only depends on the pair. So it is a
-    permutation for any size, with no table and no retry.
+    A multiplication by a prime that doesn't divide the size comes first. Then each
+    round of a swap-or-not shuffle pairs the places x and pivot - x and swaps them or
+    not, by a bit that only depends on the pair. So it is a permutation for any size,
+    with no table and no retry. Only whole-number arithmetic is used, which other
+    engines have too.
     """
+    key = key % _PRIME
+    first, second, third = _MULTIPLIERS
+    factor = F.when(size % first != 0, first).when(size % second != 0, second).otherwise(third)
 
-    def turn(x: Column, number: Column) -> Column:
-        tag = key * 131 + number
-        pivot = (mixed(tag, F.lit(17)) * _PRIME + mixed(tag, F.lit(29))) % size
-        other = (pivot - x + size) % size
-        bit = F.shiftright(mixed(F.greatest(x, other), tag), 10) % 2
-        return F.when(bit == 1, other).otherwise(x)
+    def turn(x: Column, r: Column) -> Column:
+        high = (key * (r * 7919 + 104729) + r * 1299709) % _PRIME
+        low = (key * (r * 15731 + 789221) + r * 2750159) % _PRIME
+        other = ((high * _PRIME + low) % size - x + size) % size
+        larger = F.greatest(x, other) % _PRIME
+        coin = (larger * (r * 15485863 + 32452843) + key * 49979687 + r * 86028121) % _PRIME
+        return F.when(F.shiftright(coin, 13) % 2 == 1, other).otherwise(x)
 
-    steps = F.array(*[F.lit(number).cast("long") for number in range(1, rounds + 1)])
-    return F.aggregate(steps, place.cast("long"), turn)
+    steps = F.array(*[F.lit(number).cast("long") for number in range(1, _ROUNDS + 1)])
+    return F.aggregate(steps, (place * factor + key) % size, turn)
 
 
-def permuted_sql(place: str, size: str, key: str, rounds: int = 16) -> str:
+def permuted_sql(place: str, size: str, key: str) -> str:
     """The same for DuckDB."""
-
-    def mix(value: str, salt: str) -> str:
-        first = f"(({value}) % {_PRIME} * 48271 + ({salt}) % {_PRIME} * 69621 + 12345) % {_PRIME}"
-        square = f"({first}) * ({first}) % {_PRIME}"
-        return f"(({square} + ({first}) * 16807 + ({value}) % 65521 * 40692) % {_PRIME})"
-
-    tag = f"(({key}) * 131 + r)"
-    pivot = f"(({mix(tag, '17')} * {_PRIME} + {mix(tag, '29')}) % ({size}))"
-    other = f"(({pivot} - x + ({size})) % ({size}))"
-    bit = f"(({mix(f'greatest(x, {other})', tag)} >> 10) % 2)"
-    steps = ", ".join(str(number) for number in range(1, rounds + 1))
+    first, second, third = _MULTIPLIERS
+    factor = f"CASE WHEN ({size}) % {first} <> 0 THEN {first} WHEN ({size}) % {second} <> 0 THEN {second} ELSE {third} END"
+    key = f"(({key}) % {_PRIME})"
+    high = f"(({key} * (r * 7919 + 104729) + r * 1299709) % {_PRIME})"
+    low = f"(({key} * (r * 15731 + 789221) + r * 2750159) % {_PRIME})"
+    other = f"((({high} * {_PRIME} + {low}) % ({size}) - x + ({size})) % ({size}))"
+    larger = f"(greatest(x, {other}) % {_PRIME})"
+    coin = f"(({larger} * (r * 15485863 + 32452843) + {key} * 49979687 + r * 86028121) % {_PRIME})"
+    steps = ", ".join(str(number) for number in range(1, _ROUNDS + 1))
     return (
-        f"list_reduce([({place})::BIGINT, {steps}], "
-        f"lambda x, r: CASE WHEN {bit} = 1 THEN {other} ELSE x END)"
+        f"list_reduce([((({place}) * ({factor}) + {key}) % ({size}))::BIGINT, {steps}], "
+        f"lambda x, r: CASE WHEN ({coin} >> 13) % 2 = 1 THEN {other} ELSE x END)"
     )

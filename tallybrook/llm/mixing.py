@@ -12,7 +12,7 @@ from tallybrook.scratch import written
 WEIGHTS = (5, 2, 1)
 #: No source and no document is taken more often than this.
 MOST = 3
-BLOCK_WORDS = 32
+BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 SEED = 20
 _ROWS_PER_CHUNK = 50_000
@@ -97,7 +97,8 @@ def drawn_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
     # Where a draw lands, by pages of the quotas: an equality join, not a range join.
     pages = F.sequence(F.floor(F.col("first") / _PAGE), F.floor((F.col("first") + F.col("quota") - 1) / _PAGE))
     spans = targets.filter("quota > 0").withColumn("page", F.explode(pages)).drop("source", "target")
-    slots = spark.range(total).withColumn("draw", permuted(F.col("id"), F.lit(max(total, 1)), F.lit(seed)))
+    count = F.lit(max(total, 1)).cast("long")
+    slots = spark.range(total).withColumn("draw", permuted(F.col("id"), count, F.lit(seed).cast("long")))
     slots = slots.withColumn("page", F.floor(F.col("draw") / _PAGE))
     rank = F.col("draw") - F.col("first")
     drawn = slots.join(spans, "page").filter((rank >= 0) & (rank < F.col("quota")))

@@ -71,7 +71,7 @@ def test_fewer_candidates_than_wanted(spark):
 @pytest.mark.parametrize("size", [1, 2, 7, 1000])
 def test_permutations_are_permutations(spark, size):
     ids = spark.range(size)
-    images = [row[0] for row in ids.select(permuted(F.col("id"), F.lit(size), F.lit(3))).collect()]
+    images = [row[0] for row in ids.select(permuted(F.col("id"), F.lit(size).cast("long"), F.lit(3).cast("long"))).collect()]
     assert sorted(images) == list(range(size))
     if size == 1000:
         assert sum(a == b for a, b in enumerate(images)) < 20
