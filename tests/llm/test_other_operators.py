@@ -41,6 +41,23 @@ def test_items_are_found_with_other_values(spark):
     assert _leaks(spark, [(1, "So. Five words, are enough here!")], items) == {(1, 11): 0}
 
 
+def _leaks_in_any_case(spark, texts, items):
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.n_changed for r in decontamination.leaks(docs, bench, any_case=True).collect()}
+
+
+def test_items_are_found_in_any_case(spark):
+    other = ITEM.replace("9", "7").replace("120", "85").upper()
+    half = " ".join(ITEM.split()[:10]) + " " + " ".join(ITEM.split()[10:]).upper()
+    texts = [
+        (1, f"Before this. {ITEM} And after."), (2, f"x\n\n{ITEM.upper()}"), (3, ITEM.lower()), (4, f"SO!! {other}"), (5, half),
+        (6, ITEM.upper().replace("AT 9 AND", "AT 7 AND")), (7, ITEM.replace("Paris", "Rome")), (8, "A TRAIN LEAVES THE TOWN " * 9),
+    ]
+    found = _leaks_in_any_case(spark, texts, [(10, ITEM), (11, "many words without any capital or number in them at all")])
+    assert found == {(1, 10): 0, (2, 10): 0, (3, 10): 0, (4, 10): 2, (5, 10): 0, (7, 10): 1}
+
+
 def test_search_is_exact_with_ties_and_copies(spark):
     generator = np.random.default_rng(2)
     vectors = generator.normal(size=(900, 8)).astype(np.float32)
