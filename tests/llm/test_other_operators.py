@@ -58,6 +58,18 @@ def test_items_are_found_in_any_case(spark):
     assert found == {(1, 10): 0, (2, 10): 0, (3, 10): 0, (4, 10): 2, (5, 10): 0, (7, 10): 1}
 
 
+def test_items_of_placeholders_or_few_words_are_found_verbatim(spark):
+    table, names, sums = "1 2 3 4 5 6 7 8 9 10 11 12", "Anna Berta Carla Dora Emil Fritz Gustav Hans Ida", "12 + 30 = 42"
+    few = [(1, table), (2, names), (3, sums), (4, "Answer is Paris"), (5, None), (6, " ")]
+    texts = [
+        (1, f"See {table} there, 7 times."), (2, f"so. {names.upper()}"), (3, f"And {sums} is right."), (4, "THE ANSWER IS PARIS!"),
+        (5, "1 2 3 4 5 6 7 8 9 10 11 13"), (6, "See 1 2 3 5 4 6 8 7 9 there"), (7, "12 + 31 = 43"), (8, "The answer is Rome."),
+    ]
+    found = _leaks_in_any_case(spark, texts, few)
+    assert set(found) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 1)}  # doc 5 has 4 of 5 windows
+    assert set(found.values()) == {0}
+
+
 def test_search_is_exact_with_ties_and_copies(spark):
     generator = np.random.default_rng(2)
     vectors = generator.normal(size=(900, 8)).astype(np.float32)
