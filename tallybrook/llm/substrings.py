@@ -143,20 +143,30 @@ def _read(window: int):
 
 
 def _stream(window: int):
-    """Shard by shard, in the order of documents: match each segment, then add it."""
+    """Shard by shard, in the order of documents: match each segment, then add it.
+
+    Segments of one place, from repeated rows of a document, are matched before any is added.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, automaton = None, SuffixAutomaton()
+        shard, place_of, automaton = None, None, SuffixAutomaton()
+        added: list[list[int]] = []
         for frame in frames:
             rows = []
             for key, doc_id, start, words in zip(*(frame[c] for c in ("key", "doc_id", "start", "words")), strict=True):
                 if key != shard:
-                    shard, automaton = key, SuffixAutomaton()
+                    shard, place_of, automaton, added = key, None, SuffixAutomaton(), []
+                if (doc_id, start) != place_of:
+                    for known in added:
+                        automaton.add(known)
+                    place_of, added = (doc_id, start), []
                 sequence = words.tolist()
+                if sequence in added:
+                    continue
                 for place, length in enumerate(automaton.matches(sequence)):
                     if length >= window:
                         rows.append((doc_id, start + place - window + 1, 1))
-                automaton.add(sequence)
+                added.append(sequence)
             yield pd.DataFrame(rows, columns=["doc_id", "start", "size"]).astype("int64")
 
     return run

@@ -113,6 +113,18 @@ def test_repeats_are_removed_as_by_brute_force(spark, texts, monkeypatch, most):
     assert sorted(row[2] for row in found if row[0] is None) == [0, 0]
 
 
+@pytest.mark.parametrize("most", [substrings.MOST_SEGMENTS, 2])
+def test_repeated_rows_keep_a_passage_shared_with_others(spark, monkeypatch, most):
+    monkeypatch.setattr(substrings, "MOST_SEGMENTS", most)
+    passage = " ".join(f"shared{i}" for i in range(60))
+    own = {i: [" ".join(f"own{i}{side}{j}" for j in range(25)) for side in "ab"] for i in (3, 5, 7)}
+    texts = {i: f"{a} {passage} {b}" for i, (a, b) in own.items()}
+    rows = [(i, texts[i]) for i in (3, 3, 5, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((row.doc_id, row.kept) for row in substrings.without_repeats(df).collect())
+    assert found == [(3, texts[3])] * 2 + [(i, " ".join(own[i])) for i in (5, 7)]
+
+
 def test_suffix_automaton_matches_brute_force():
     generator = random.Random(3)
     automaton, known = SuffixAutomaton(), []
