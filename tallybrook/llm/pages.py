@@ -35,6 +35,12 @@ MARKS = frozenset(
     "sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets "
     "alert contentinfo complementary dialog form hidden discussion".split()
 )
+#: Marks that hold for articles inside them too: comments, menus and teasers.
+_FIRM_MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense comment comments discussion disqus hidden menu menus "
+    "nav navbar navigation promo promoted promotion recommended related replies reply respond sponsor sponsored".split()
+)
+_FIRM_TAGS = frozenset("nav aside menu".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
@@ -56,6 +62,7 @@ class _Open:
     tag: str
     article: bool
     marked: bool
+    firm: bool = False
 
 
 @dataclass
@@ -116,8 +123,10 @@ class _Flattener(HTMLParser):
         marked = tag in BOILERPLATE_TAGS or bool(tokens & MARKS) or hidden
         # The header of a page is boilerplate, that of an article is its headline.
         marked = marked or (tag == "header" and not outer.article)
-        article = tag in ("article", "main") and not marked and not outer.marked
-        self._open.append(_Open(tag, outer.article or article, outer.marked or marked))
+        # A mark on a wrapper, such as "with-sidebar", ends at the article in it.
+        article = tag in ("article", "main") and not marked and not outer.firm
+        firm = outer.firm or hidden or tag in _FIRM_TAGS or bool(tokens & _FIRM_MARKS)
+        self._open.append(_Open(tag, outer.article or article, marked or (outer.marked and not article), firm))
 
     def _leave(self, tag: str, within: frozenset[str] | None = None) -> None:
         for place in range(len(self._open) - 1, 0, -1):

@@ -171,6 +171,16 @@ def test_main_text_of_a_page():
     ]
 
 
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='layout-with-sidebar'", "form id='search'", "div id='share-page'"])
+def test_an_article_in_a_marked_wrapper_stays(wrapper):
+    end = wrapper.split()[0]
+    page = f"<body><{wrapper}><div>side</div><article><h1>Head</h1><p>The text is here.</p><div class='share'>Tell others</div></article></{end}></body>"
+    assert pages.main_text(page, pages.trained_tree()) == "Head\n\nThe text is here."
+    for firm in ("aside", "nav", "div class='comments'"):
+        page = f"<body><{firm}><article><p>Somebody says this about it.</p></article></{firm.split()[0]}></body>"
+        assert pages.main_text(page, pages.trained_tree()) == ""
+
+
 def test_pages_without_article_go_by_words_and_links():
     body = "<div>" + "</div><div>".join(["word " * 40, "other " * 30, "more " * 50]) + "</div>"
     menu = "".join(f'<div><a href="/{i}">item</a></div>' for i in range(8))
