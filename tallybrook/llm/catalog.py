@@ -11,9 +11,12 @@ from tallybrook.llm import (
     decontamination,
     jaccard,
     line_dedup,
+    manifest,
     mixing,
+    negatives,
     pages,
     quality,
+    simhash,
     substrings,
     topk,
     toxicity,
@@ -32,6 +35,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat": chat.op8_chat,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_substrings": substrings.op10_substrings,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_simhash": simhash.op12_simhash,
+    "op13_negatives": negatives.op13_negatives,
 }
 ORACLES: dict[str, str] = {
     **decontamination.ORACLES,
@@ -39,4 +45,6 @@ ORACLES: dict[str, str] = {
     **mixing.ORACLES,
     **chat.ORACLES,
     **line_dedup.ORACLES,
+    **manifest.ORACLES,
+    **negatives.ORACLES,
 }

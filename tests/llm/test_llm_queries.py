@@ -13,7 +13,7 @@ TABLES = ("documents", "labels", "benchmark", "pages", "conversations", "embeddi
 def test_all_are_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(QUERIES)
 
 

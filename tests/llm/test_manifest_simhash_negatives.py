@@ -1,0 +1,249 @@
+"""Merkle manifest, SimHash groups and hard negatives against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tallybrook.llm import manifest, negatives, simhash
+from tallybrook.llm.spread import joined_to_key
+
+
+def _sha(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _tree(leaves, fanout):
+    levels = [list(leaves)]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([_sha(last[i : i + fanout]) for i in range(0, len(last), fanout)])
+    return levels
+
+
+def _siblings(levels, at, fanout):
+    steps = []
+    for nodes in levels[:-1]:
+        start = at - at % fanout
+        run = nodes[start : start + fanout]
+        steps.append((at % fanout, [node for i, node in enumerate(run) if i != at % fanout]))
+        at //= fanout
+    return steps
+
+
+@pytest.mark.parametrize(("fanout", "levels"), [(2, 2), (3, 1), (2, 0), (4, 10)])
+def test_manifest_is_the_tree_of_all_leaves(spark, fanout, levels):
+    sizes = {None: 5, "": 1, "a": 23, "b": 16, "é": 2, "Z": 17}
+    rows = [(part, i if i else None, f"{part}/{i}") for part, size in sizes.items() for i in range(size)]
+    rows += [("a", 3, "a/3"), ("a", 3, "a/0")]
+    df = spark.createDataFrame(rows, "part string, size int, text string").repartition(5)
+    leaf = F.sha2("text", 256)
+    found = manifest.manifest(df, F.col("part"), F.col("size"), leaf, {"part": F.col("part"), "at": F.col("text")}, fanout, levels)
+    expected = []
+    parts = sorted(sizes, key=lambda part: (part is not None, (part or "").encode()))
+    ordered = {
+        part: sorted(
+            (row for row in rows if row[0] == part),
+            key=lambda row: (row[1] is not None, row[1] or 0, _sha([row[2]])),
+        )
+        for part in parts
+    }
+    trees = {part: _tree([_sha([row[2]]) for row in ordered[part]], fanout) for part in parts}
+    top = _tree([trees[part][-1][0] for part in parts], fanout)
+    for place, part in enumerate(parts):
+        for at, row in enumerate(ordered[part]):
+            proof = _siblings(trees[part], at, fanout) + _siblings(top, place, fanout)
+            expected.append((part, row[2], _sha([row[2]]), trees[part][-1][0], top[-1][0], proof))
+    got = [
+        (row["part"], row["at"], row["leaf"], row["subroot"], row["root"], [(step["place"], step["others"]) for step in row["proof"]])
+        for row in found.collect()
+    ]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    root = manifest.folded(F.col("leaf"), F.col("proof"), fanout)
+    assert found.filter(root != F.col("root")).isEmpty()
+    wrong = manifest.folded(F.sha2(F.lit("x"), 256), F.col("proof"), fanout)
+    assert found.filter(wrong == F.col("root")).isEmpty()
+
+
+def test_leaf_fields_cannot_run_together(spark):
+    rows = [("a", "b"), ("a1:b", None), (None, "a"), ("", "-"), ("-", ""), ("é", "𝄞")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    found = [row[0] for row in df.select(manifest.leaf_digest(F.col("x"), F.col("y"))).collect()]
+    parts = [["-" if v is None else f"{len(v.encode())}:{v}" for v in row] for row in rows]
+    assert found == [_sha(part) for part in parts]
+    assert len(set(found)) == len(rows)
+
+
+def test_manifest_of_one_row_and_of_none(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    call = (F.lit(None).cast("string"), F.col("doc_id"), F.sha2("text", 256))
+    row = manifest.manifest(df, *call).first()
+    assert row["root"] == row["subroot"] == row["leaf"] and row["proof"] == []
+    assert manifest.manifest(df.limit(0), *call).isEmpty()
+
+
+def _fingerprint(text):
+    words = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    shingles = [b" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(shingle, 42) for shingle in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def _groups(prints):
+    top = {p: p for p in prints}
+
+    def find(p):
+        while top[p] != p:
+            p = top[p]
+        return p
+
+    ordered = np.array(sorted(prints), np.uint64)
+    for i, p in enumerate(ordered):
+        for other in ordered[i + 1 :][np.bitwise_count(ordered[i + 1 :] ^ p) <= 2]:
+            one, two = find(int(p)), find(int(other))
+            top[max(one, two)] = min(one, two)
+    return {p: find(p) for p in prints}
+
+
+def test_simhash_groups_equal_brute_force(spark):
+    generator = random.Random(2)
+    base = [f"w{generator.randrange(500)}" for _ in range(300)]
+    texts = [None, "", " \n", "One", "one", "ONE two", "É x", "one two three", "a " * 5000]
+    for _ in range(120):
+        words = list(base)
+        for _ in range(generator.randrange(0, 12)):
+            words[generator.randrange(len(words))] = f"x{generator.randrange(30)}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"v{generator.randrange(900)}" for _ in range(generator.randrange(1, 60))) for _ in range(80)]
+    rows = [(i, text, "x", 1, 2) for i, text in enumerate(texts)]
+    rows += [(5, texts[5], "x", 1, 2), (6, texts[40], "x", 1, 2), (None, texts[41], "x", 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, print string, n int, component_id int").repartition(4)
+    found = simhash.near_duplicates(df)
+    prints = {text: _fingerprint(text) for _, text, *_ in rows}
+    tops = _groups({prints[text] for i, text, *_ in rows if i is not None})
+    least = {}
+    for i, text, *_ in rows:
+        if i is not None:
+            component = tops[prints[text]]
+            least[component] = min(least.get(component, i), i)
+    expected = [
+        (i, prints[text], None if i is None else least[tops[prints[text]]]) for i, text, *_ in rows
+    ]
+    got = [(row[0], row[1] % 2**64, row[2]) for row in found.collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert len(set(tops.values())) < len(tops)
+
+
+@pytest.mark.parametrize("run_rows", [3, 16, 4096])
+def test_links_join_up_all_near_prints(spark, run_rows):
+    generator = random.Random(run_rows)
+    # Clusters around centres, of which some bits never change, and prints by themselves.
+    prints = {generator.getrandbits(64) for _ in range(100)} | {0, 2**64 - 1}
+    for _ in range(4):
+        centre = generator.getrandbits(64)
+        for _ in range(150):
+            prints.add(centre ^ sum(1 << generator.randrange(30) for _ in range(generator.randrange(4))) % 2**64)
+    df = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "print long")
+    links = [(row[0] % 2**64, row[1] % 2**64) for row in simhash.near_links(df, run_rows=run_rows).collect()]
+    top = {p: p for p in prints}
+
+    def find(p):
+        while top[p] != p:
+            p = top[p]
+        return p
+
+    for a, b in links:
+        one, two = find(a), find(b)
+        top[max(one, two)] = min(one, two)
+    assert {p: find(p) for p in prints} == _groups(prints)
+
+
+def test_tree_finds_all_that_are_near():
+    generator = np.random.default_rng(3)
+    for size in (1, 7, 8, 9, 200, 700):
+        base = generator.integers(0, 2**63, 5, np.uint64)
+        prints = np.unique(base[generator.integers(0, 5, size)] ^ (np.uint64(1) << generator.integers(0, 64, size, np.uint64)))
+        query, place = simhash.GrayTree(prints).within(prints, 2)
+        expected = {(i, j) for i in range(len(prints)) for j in range(len(prints)) if int(prints[i] ^ prints[j]).bit_count() <= 2}
+        assert set(zip(query.tolist(), place.tolist(), strict=True)) == expected
+
+
+def test_masks_leave_no_pair_out():
+    chosen = simhash.masks(2)
+    assert len(chosen) == 10
+    for i in range(64):
+        for j in range(i, 64):
+            assert any(not mask >> i & 1 and not mask >> j & 1 for mask in chosen)
+
+
+def test_gray_neighbours_differ_in_one_bit():
+    numbers = np.arange(1024, dtype=np.uint64)
+    ordered = numbers[np.argsort(simhash.gray_rank(numbers))]
+    assert set(np.bitwise_count(ordered[1:] ^ ordered[:-1]).tolist()) == {1}
+
+
+def test_rows_of_a_hot_key_are_all_joined(spark):
+    rows = spark.range(6000).select(F.col("id"), F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("k"))
+    facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("fact", F.col("k") * 2)
+    joined = joined_to_key(rows, facts, "k", "n")
+    assert joined.columns == ["k", "id", "n", "fact"]
+    assert joined.count() == 6000 and joined.filter("fact <> 2 * k").isEmpty()
+
+
+def _mined(rows, low=30, high=90):
+    kept = []
+    for vec_id, vector, label in rows:
+        if vec_id is None or label is None or vector is None or any(x is None or not np.isfinite(x) for x in vector):
+            continue
+        kept.append((vec_id, label, [int(np.floor(256 * float(np.float32(x)))) for x in vector]))
+    found = []
+    for anchor in {row[0] for row in kept if row[0] % 100 == 0}:
+        _, label, vector = min((row[1], row[2]) and row for row in kept if row[0] == anchor)
+        scored = [
+            (-sum(a * b for a, b in zip(vector, other[2], strict=True)), other[0], other[1])
+            for other in kept
+            if len(other[2]) == len(vector)
+        ]
+        scored.sort()
+        positives = [(i, -s) for s, i, of in scored if of == label and i != anchor][:5]
+        for positive, score in positives:
+            fits = [(i, -s) for s, i, of in scored if of != label and low * score <= -100 * s <= high * score][:10]
+            found += [(anchor, positive, rank, i, score, s) for rank, (i, s) in enumerate(fits, 1)]
+    return sorted(found)
+
+
+def test_negatives_equal_brute_force(spark):
+    generator = random.Random(4)
+    rows = []
+    for i in range(700):
+        vector = [generator.choice([-0.5, 0.0, 0.25, 0.5, 1.0, generator.random()]) for _ in range(4)]
+        rows.append((i, vector, generator.randrange(3)))
+    rows += [(800, [1.0, 1.0], 1), (801, [0.5, 1.0], 1), (802, [0.5, 0.5], 2), (900, [], 0), (901, [], 0), (902, [], 1)]
+    rows += [(1000, None, 1), (1001, [None, 1.0, 1.0, 1.0], 1), (1002, [float("nan")] * 4, 2), (1100, [float("inf")] * 4, 1)]
+    rows += [(1200, [1.0] * 4, None), (None, [1.0] * 4, 1), (3, rows[3][1], rows[3][2]), (300, rows[7][1], rows[300][2])]
+    rows += [(1300, [-1.0, -1.0, 0.0, 0.0], 9), (1301, [1.0, 1.0, 0.0, 0.0], 9), (1400, [0.0] * 4, 8), (1401, [0.0] * 4, 8)]
+    df = spark.createDataFrame(
+        [(*row, "x", 1, 2) for row in rows], "vec_id long, embedding array<float>, label int, id string, shard int, dims int"
+    ).repartition(5)
+    before = negatives.LEAST_SHARD_ROWS
+    try:
+        for negatives.LEAST_SHARD_ROWS in (before, 100):
+            got = sorted(tuple(row) for row in negatives.hard_negatives(df).collect())
+            assert got == _mined(rows)
+    finally:
+        negatives.LEAST_SHARD_ROWS = before
+    assert {row[0] for row in got} >= {0, 300, 800, 900, 1400}
+
+
+def test_large_scores_are_exact_or_an_error(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    near = [(0, [1e6, 1.0], 0), (1, [1e6, 3.0], 0), (2, [8e5, 0.5], 1), (3, [8e5, 0.25], 1)]
+    got = sorted(tuple(row) for row in negatives.hard_negatives(spark.createDataFrame(near, schema)).collect())
+    assert got == _mined(near) and len(got) == 2
+    far = [(0, [1e30], 0), (1, [1e30], 0), (2, [1e29], 1)]
+    with pytest.raises(Exception, match="does not fit in 64 bits"):
+        negatives.hard_negatives(spark.createDataFrame(far, schema)).collect()
