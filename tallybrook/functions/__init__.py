@@ -8,13 +8,13 @@ from tallybrook.functions.documents import (
     json_values,
     over_parser_limits,
 )
-from tallybrook.functions.sums import EXACT, exact, exact_mean, exact_sum, is_floating
+from tallybrook.functions.sums import Addend, Span, exact_mean, exact_sum, is_floating, spans
 from tallybrook.functions.text import first_number, in_words, parsed_date, text_year
 
 __all__ = [
-    "EXACT",
+    "Addend",
+    "Span",
     "as_text",
-    "exact",
     "exact_mean",
     "exact_sum",
     "flat_document",
@@ -26,5 +26,6 @@ __all__ = [
     "json_values",
     "over_parser_limits",
     "parsed_date",
+    "spans",
     "text_year",
 ]

@@ -9,7 +9,7 @@ from tallybrook.operators.aggregates import (
 )
 from tallybrook.operators.filters import flagged_detail, size_at_least, size_in_form
 from tallybrook.operators.joins import join_shared_key
-from tallybrook.operators.layout import partition_count, spread
+from tallybrook.operators.layout import partition_count, physical_partitions, spread
 from tallybrook.operators.preview import counted, preview
 from tallybrook.operators.windows import add_growth, cut_evenly, number_rows
 
@@ -23,6 +23,7 @@ __all__ = [
     "number_rows",
     "partition_count",
     "per_invoice",
+    "physical_partitions",
     "preview",
     "rows_per_partition",
     "size_at_least",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions import exact, exact_mean, exact_sum, parsed_date
+from tallybrook.functions import Addend, exact_mean, parsed_date, spans
 
 
 def _grouped(df: DataFrame, keys: Sequence[Column | str], measures: dict[str, Column],
@@ -28,16 +28,18 @@ def summarise_sales(
 ) -> DataFrame:
     """Measures over invoice lines, per group or over the whole table.
 
-    Sums and means are those of :func:`exact`, so they do not depend on the order of
-    the rows; NaN and infinity take no part. ``price_digits`` rounds the mean.
+    Sums lose nothing and do not depend on the order of the rows; ``price_digits`` rounds
+    the mean. For them the two columns are read once before, see :func:`spans`.
     """
-    mean = exact_mean(lines, price)
+    values = {"price": F.col(price), "quantity": F.col(quantity), "value": F.col(quantity) * F.col(price)}
+    wide = spans(lines, values)
+    mean = exact_mean(values["price"], wide["price"])
     measures = {
         "num_records": F.count(F.lit(1)),
-        "total_quantity": exact_sum(lines, quantity, 6),
+        "total_quantity": F.round(Addend.of(values["quantity"], wide["quantity"]).total(), 6),
         "avg_price": mean if price_digits is None else F.round(mean, price_digits),
         "num_invoices": F.count_distinct(F.col(invoice)),
-        "invoice_value": exact_sum(lines, F.col(quantity) * F.col(price)),
+        "invoice_value": F.round(Addend.of(values["value"], wide["value"]).total(), 2),
     }
     return _grouped(lines, keys, measures, wanted)
 
@@ -48,16 +50,17 @@ def per_invoice(
     quantity: str = "Quantity",
     price: str = "UnitPrice",
 ) -> DataFrame:
-    """One row per invoice: its quantity and value, as DECIMAL.
+    """One row per invoice: the parts of its quantity and value, for :func:`summarise_invoices`.
 
     Done before lines meet their invoice headers, this makes the shuffle of the
     join as small as the number of invoices: an invoice that holds a large share
     of all lines is already one row per map task when it is shuffled. The
     grouping and the join share that one exchange.
     """
+    values = {"InvoiceQuantity": F.col(quantity), "InvoiceValue": F.col(quantity) * F.col(price)}
+    wide = spans(lines, values)
     return lines.groupBy(invoice).agg(
-        F.sum(exact(lines, quantity)).alias("InvoiceQuantity"),
-        F.sum(exact(lines, F.col(quantity) * F.col(price))).alias("InvoiceValue"),
+        *[Addend.of(value, wide[name]).partial().alias(name) for name, value in values.items()]
     )
 
 
@@ -71,8 +74,8 @@ def summarise_invoices(
     """What :func:`summarise_sales` gives, from rows of :func:`per_invoice`."""
     measures = {
         "num_invoices": F.count_distinct(F.col(invoice)),
-        "total_quantity": F.sum("InvoiceQuantity").cast("double"),
-        "invoice_value": F.round(F.sum("InvoiceValue").cast("double"), 2),
+        "total_quantity": Addend.again(invoices, "InvoiceQuantity").total(),
+        "invoice_value": F.round(Addend.again(invoices, "InvoiceValue").total(), 2),
     }
     return _grouped(invoices, keys, measures, wanted)
 

@@ -11,6 +11,11 @@ def partition_count(df: DataFrame) -> int:
     return df.select(F.spark_partition_id().alias("partition")).distinct().count()
 
 
+def physical_partitions(df: DataFrame) -> int:
+    """Physical partitions of ``df``, empty ones included, as they come out of its execution."""
+    return df.rdd.getNumPartitions()
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal the rows evenly over a number of partitions.
 

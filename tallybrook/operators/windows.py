@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallybrook.functions import exact, is_floating
+from tallybrook.functions import Addend, Span, spans
 
 _RANK, _TERM, _PREVIOUS = "_seed_rank", "_seed_term", "_previous"
 _CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
@@ -77,6 +77,10 @@ def _quantiles(df: DataFrame, column: str, slices: int, share: float) -> list[fl
     return sorted({bound for bound in found or [] if math.isfinite(bound)})
 
 
+def _term(place: int) -> str:
+    return f"{_TERM}{place}"
+
+
 def _last_value(value: str, order: Sequence[str]) -> Column:
     """``value`` in the last row by ``order``, NULLs first."""
     if len(order) > 1:
@@ -92,25 +96,26 @@ def _seeded(
     keys: Sequence[str],
     order: Sequence[str],
     slices: Sequence[Column | str],
-    term: Column,
+    terms: Sequence[Column],
     value: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """``df`` with the term to add up and with seed rows, and the columns to partition by.
+    """``df`` with the terms to add up and with seed rows, and the columns to partition by.
 
-    A seed row holds the sum of the terms before its slice and, if asked for, in
+    A seed row holds the sums of the terms before its slice and, if asked for, in
     ``value`` the last value before it.
     """
+    adding = [_term(place) for place in range(len(terms))]
     names = [f"_slice{i}" for i in range(len(slices))]
     cut = [*keys, *names]
     columns = [F.col(s) if isinstance(s, str) else s for s in slices]
-    rows = df.withColumns({**dict(zip(names, columns)), _RANK: F.lit(1), _TERM: term})
+    rows = df.withColumns({**dict(zip(names, columns)), _RANK: F.lit(1), **dict(zip(adding, terms))})
     if not slices:
         return rows, cut
 
-    totals = [F.sum(_TERM).alias(_TERM)]
+    totals = [F.sum(name).alias(name) for name in adding]
     along = W.partitionBy(*keys).orderBy(*names)
     before = along.rowsBetween(W.unboundedPreceding, -1)
-    seed = [F.lit(0).alias(_RANK), F.sum(_TERM).over(before).alias(_TERM)]
+    seed = [F.lit(0).alias(_RANK), *[F.sum(name).over(before).alias(name) for name in adding]]
     if value:
         totals.append(_last_value(value, order).alias(value))
         seed.append(F.lag(value).over(along).alias(value))
@@ -131,9 +136,9 @@ def number_rows(
     name: str = "RowNum",
 ) -> DataFrame:
     """Add the row's position in its group, from 1."""
-    seeded, cut = _seeded(df, keys, order, slices, F.lit(1).cast("bigint"))
+    seeded, cut = _seeded(df, keys, order, slices, [F.lit(1).cast("bigint")])
     upto = W.partitionBy(*cut).orderBy(_RANK, *order).rowsBetween(W.unboundedPreceding, 0)
-    return _unseeded(seeded.withColumn(name, F.sum(_TERM).over(upto)), [*df.columns, name])
+    return _unseeded(seeded.withColumn(name, F.sum(_term(0)).over(upto)), [*df.columns, name])
 
 
 def add_growth(
@@ -145,20 +150,22 @@ def add_growth(
     slices: Sequence[Column | str] = (),
     growth: str = "PercentGrowth",
     total: str = "AccumulateValue",
+    span: Span | None = None,
 ) -> DataFrame:
     """Add the growth over the previous row in percent and the running sum.
 
     Growth is 0 where the value or the previous one is NULL and NULL where the
     previous one is 0. The running sum is exact, and a double where the values are.
-    Both results are rounded to 2 digits.
+    Both results are rounded to 2 digits. ``span`` is that of the values, which are read
+    for it otherwise.
     """
-    seeded, cut = _seeded(df, keys, order, slices, exact(df, value), value)
+    addend = Addend.of(value, span or spans(df, {value: value})[value])
+    seeded, cut = _seeded(df, keys, order, slices, list(addend.parts.values()), value)
     along = W.partitionBy(*cut).orderBy(_RANK, *order)
     upto = along.rowsBetween(W.unboundedPreceding, 0)
     now, previous = F.col(value), F.col(_PREVIOUS)
     change = F.round(F.try_divide(now - previous, previous) * 100, 2)
-    running = F.sum(_TERM).over(upto)
-    running = running.cast("double") if is_floating(df, value) else running
+    running = addend.over(upto, {part: _term(place) for place, part in enumerate(addend.parts)})
     # A column of its own, so that the window works out the previous row once.
     windowed = seeded.withColumns(
         {_PREVIOUS: F.lag(value).over(along), total: F.round(running, 2)}

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.functions import EXACT, exact_sum, in_words, text_year
+from tallybrook.functions import Addend, exact_sum, in_words, text_year
 from tallybrook.operators import preview, summarise_invoices, summarise_sales
 from tallybrook.plans import tables
+from tallybrook.plans.tables import EXACT
 from tallybrook.sources import literal_table, run_sql
 
 # The order dates of the tables run from 1995 to 2001.
@@ -50,9 +51,9 @@ def customer_value_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topk_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest invoices."""
-    rows = tables.invoices(spark, sf_dir, countries=False).select(
-        "InvoiceNo", "CustomerID", F.round(F.col("InvoiceValue").cast("double"), 2).alias("invoice_value")
-    )
+    invoices = tables.invoices(spark, sf_dir, countries=False)
+    value = F.round(Addend.value(invoices, "InvoiceValue"), 2)
+    rows = invoices.select("InvoiceNo", "CustomerID", value.alias("invoice_value"))
     return preview(rows, [F.desc("invoice_value"), "InvoiceNo"])
 
 
@@ -100,7 +101,7 @@ def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The values are added up as DECIMAL, as in the queries.
+# The values are added up as DECIMAL, which loses nothing of the given ones.
 _VALUE_SQL = f"round(CAST(sum(CAST(l_quantity * l_extendedprice AS {EXACT})) AS DOUBLE), 2)"
 _INVOICES_SQL = """
     SELECT n_name AS Country, o_custkey AS CustomerID, o_orderkey AS InvoiceNo,

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.functions import exact_sum
+from tallybrook.functions import Span, exact_sum, spans
 from tallybrook.operators import join_shared_key, per_invoice
 from tallybrook.sources import read_files
 
 
+#: What the SQL counterparts add up doubles as, which is enough for the given tables.
+EXACT = "decimal(24,6)"
+
 # The given layouts; naming them spares each query a look into the files.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -129,10 +132,15 @@ def country_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("Country", "o_orderkey", "order_day", "InvoiceValue")
 
 
+def order_values(spark: SparkSession, sf_dir: str) -> Span | None:
+    """The span of the order values, from one column of the scan."""
+    return spans(table(spark, sf_dir, "orders"), {"value": "o_totalprice"})["value"]
+
+
 def weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country, WeekNumber (the week's Monday), InvoiceValue; unique per country and week."""
     orders = country_orders(spark, sf_dir)
     return (
         orders.groupBy("Country", F.trunc("order_day", "week").alias("WeekNumber"))
-        .agg(exact_sum(orders, "InvoiceValue").alias("InvoiceValue"))
+        .agg(exact_sum(orders, "InvoiceValue", span=order_values(spark, sf_dir)).alias("InvoiceValue"))
     )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.functions import EXACT
 from tallybrook.operators import add_growth, cut_evenly, number_rows
 from tallybrook.plans import tables
+from tallybrook.plans.tables import EXACT
 
 
 def row_number_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Growth and running total over every order of a country, in slices."""
     orders = _sliced_orders(spark, sf_dir)
     return add_growth(
-        orders, ["Country"], ["o_orderkey"], "InvoiceValue", slices=["slice"]
+        orders, ["Country"], ["o_orderkey"], "InvoiceValue", slices=["slice"], span=tables.order_values(spark, sf_dir)
     ).drop("slice")
 
 

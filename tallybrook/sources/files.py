@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+#: What stands for an empty text in the name of a folder, and Spark's own mark for NULL.
+_EMPTY, _NONE = "(empty)", "__HIVE_DEFAULT_PARTITION__"
 # Formats whose files name their columns.
 _WITH_NAMES = ("parquet", "orc")
 
@@ -57,6 +60,71 @@ def csv_texts(df: DataFrame, read: bool) -> DataFrame:
     return df.withColumns({name: F.regexp_replace(F.col(f"`{name}`"), find, put) for name in texts})
 
 
+def folder_texts(df: DataFrame, columns: Sequence[str], read: bool) -> DataFrame:
+    """Folder columns of text with a mark for the empty one, or without it again."""
+    marks = rf"(\\*(?:\Q{_EMPTY}\E|{_NONE}))"
+
+    def changed(name: str):
+        text = F.col(f"`{name}`")
+        if read:
+            return F.when(text == _EMPTY, "").otherwise(F.regexp_replace(text, rf"^\\{marks}$", "$1"))
+        return F.when(text == "", _EMPTY).otherwise(F.regexp_replace(text, rf"^{marks}$", r"\\$1"))
+
+    texts = [name for name in columns if isinstance(df.schema[name].dataType, StringType)]
+    return df.withColumns({name: changed(name) for name in texts})
+
+
+def read_partitioned_json(
+    spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str]
+) -> DataFrame:
+    """What ``write_partitioned_json`` wrote, with every text of the folder columns as it was."""
+    return folder_texts(read_files(spark, path, "json", schema), partition_by, read=True)
+
+
+@dataclass(frozen=True)
+class Checked:
+    """The rows of a scan that fit its schema, and what the others say in the files."""
+
+    good: DataFrame
+    damaged: DataFrame
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str,
+    schema: StructType | str,
+    options: Mapping[str, str] | None = None,
+) -> Checked:
+    """Scan ``json`` (lines) or ``csv`` (with header) and set damaged rows apart.
+
+    A row is damaged if it cannot be parsed, has a value of another type than its column or,
+    in CSV, more or fewer fields than the header. It is not among the ``good`` ones, not
+    even in part; ``damaged`` has its ``record`` as it stands in the file, and the ``file``.
+    In CSV an open quote takes the lines up to the next one with it; they are in
+    ``record`` then. Blank lines are no rows.
+    """
+    if fmt not in ("json", "csv"):
+        raise ValueError(f"{fmt} files have no damaged rows")
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    # A name that no column has.
+    record = "_record" + "_" * max(map(len, wanted.fieldNames()), default=0)
+    reader = spark.read.format(fmt).schema(StructType([*wanted.fields]).add(record, StringType()))
+    if fmt == "csv":
+        reader = reader.options(**CSV_OPTIONS)
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=record, **(options or {}))
+    rows = reader.load(path).select("*", F.col("_metadata.file_path").alias(f"{record}_file"))
+    columns = [F.col(f"`{name}`") for name in wanted.fieldNames()]
+    # Always true, but it has all columns read: a column that a query leaves out is not
+    # parsed, and then no reason to find a row damaged.
+    read = sum((column.isNull().cast("int") for column in columns), F.lit(0)) >= 0
+    good = rows.filter(F.col(record).isNull() & read).select(*columns)
+    damaged = rows.filter(F.col(record).isNotNull() & read).select(
+        F.col(record).alias("record"), F.col(f"{record}_file").alias("file")
+    )
+    return Checked(csv_texts(good, read=True) if fmt == "csv" else good, damaged)
+
+
 def _check_names(
     spark: SparkSession, path: str | list[str], fmt: str, schema: StructType | str
 ) -> None:

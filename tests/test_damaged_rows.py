@@ -1,0 +1,125 @@
+"""Damaged rows of file scans, folders with odd names, and files by size."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybrook.sinks import write_partitioned_json
+from tallybrook.sources import read_checked, read_partitioned_json
+
+SCHEMA = "id int, name string, day date, price double"
+
+JSON_LINES = {
+    '{"id": 1, "name": "a", "day": "2020-01-02", "price": 1.5}': True,
+    '{"id": 2, "name": null}': True,
+    '{"id": 3, "other": 1}': True,
+    "{}": True,
+    '{"id": "x", "name": "b"}': False,
+    '{"id": 4, "day": "2020-13-45"}': False,
+    '{"id": 5, "price": "1.5x"}': False,
+    '{"id": 6, "name": "cut': False,
+    "no json": False,
+    '{"id": 7}} tail': True,
+}
+
+
+def _names(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
+@pytest.fixture(scope="module")
+def json_file(tmp_path_factory):
+    path = tmp_path_factory.mktemp("lines") / "in.json"
+    path.write_text("\n\n".join(line for line in JSON_LINES if "tail" not in line) + "\n")
+    return str(path)
+
+
+def test_damaged_json_is_set_apart(spark, json_file):
+    found = read_checked(spark, json_file, "json", SCHEMA)
+    damaged = [line for line, good in JSON_LINES.items() if not good]
+    assert sorted(row.record for row in found.damaged.collect()) == sorted(damaged)
+    assert {os.path.basename(row.file) for row in found.damaged.collect()} == {"in.json"}
+    assert found.good.dtypes == [("id", "int"), ("name", "string"), ("day", "date"), ("price", "double")]
+    assert sorted(row.id or 0 for row in found.good.collect()) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("columns", [["name"], ["id"], []])
+def test_leaving_columns_out_finds_the_same_rows(spark, json_file, tmp_path, columns):
+    found = read_checked(spark, json_file, "json", SCHEMA)
+    assert found.good.select(*columns).count() == 4
+    (tmp_path / "in.csv").write_text("id,name,day,price\n1,a,2020-01-02,1\nx,b,2020-01-02,1\n3,c,never,1\n")
+    found = read_checked(spark, str(tmp_path / "in.csv"), "csv", SCHEMA)
+    assert found.good.select(*columns).count() == 1
+    assert found.damaged.count() == 2 and found.damaged.select("file").count() == 2
+
+
+def test_damaged_csv_is_set_apart(spark, tmp_path):
+    lines = ["1,a,2020-01-02,1.5", "x,b,2020-01-02,1", "3,c", "4,d,2020-01-02,1,more", '5,"two\nlines",,2', "6,\\N,,"]
+    (tmp_path / "in.csv").write_text("id,name,day,price\n" + "\n".join(lines) + "\n")
+    found = read_checked(spark, str(tmp_path / "in.csv"), "csv", SCHEMA)
+    assert sorted(row.record.strip() for row in found.damaged.collect()) == sorted(lines[1:4])
+    assert sorted((row.id, row.name) for row in found.good.collect()) == [(1, "a"), (5, "two\nlines"), (6, None)]
+    # An open quote takes what follows with it, and none of that is lost.
+    (tmp_path / "open.csv").write_text('id,name,day,price\n1,a,,1\n2,"open,,2\n3,c,,3\n')
+    found = read_checked(spark, str(tmp_path / "open.csv"), "csv", SCHEMA)
+    assert [row.id for row in found.good.collect()] == [1]
+    assert "2," in found.damaged.first().record and "3,c,,3" in found.damaged.first().record
+
+
+def test_columns_may_be_called_like_a_record(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"_record": "a", "_record_": 1}\n{"_record": "b", "_record_": "x"}\n')
+    found = read_checked(spark, str(tmp_path / "in.json"), "json", "_record string, _record_ int")
+    assert _names(found.good) == [("a", 1)]
+    assert found.damaged.count() == 1
+    with pytest.raises(ValueError, match="no damaged rows"):
+        read_checked(spark, "x", "parquet", SCHEMA)
+
+
+NAMES = ["", None, "a", "(empty)", r"\(empty)", r"\\(empty)", "__HIVE_DEFAULT_PARTITION__", "a=b/c", "é %", " "]
+
+
+def test_every_folder_name_comes_back(spark, tmp_path):
+    rows = [(i, name, i % 2) for i, name in enumerate(NAMES)]
+    df = spark.createDataFrame(rows, "id long, name string, n int")
+    write_partitioned_json(df, str(tmp_path / "out"), ["name", "n"])
+    back = read_partitioned_json(spark, str(tmp_path / "out"), df.schema, ["name", "n"])
+    assert back.columns == df.columns
+    assert sorted(back.collect()) == sorted(df.collect(), key=lambda row: row.id)
+
+
+def test_replacing_one_folder_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(i, name) for i, name in enumerate(["a", "b", "", None] * 3)], "id long, name string")
+    write_partitioned_json(df, path, ["name"])
+    before = {name: os.stat(name).st_mtime_ns for name in glob.glob(f"{path}/name=*/*.json")}
+    for name in ("a", ""):
+        new = spark.createDataFrame([(100, name)], "id long, name string")
+        write_partitioned_json(new, path, ["name"], only_these=True)
+    after = {name: os.stat(name).st_mtime_ns for name in glob.glob(f"{path}/name=*/*.json")}
+    assert {name for name in before if "name=b/" in name or "HIVE" in name} <= {n for n in after if after[n] == before.get(n)}
+    back = read_partitioned_json(spark, path, df.schema, ["name"])
+    kept = [(row.id, row.name) for row in df.collect() if row.name not in ("a", "")]
+    assert sorted(back.collect(), key=repr) == sorted([*kept, (100, "a"), (100, "")], key=repr)
+
+
+@pytest.mark.parametrize("rows", [2_000, 20_000])
+def test_files_keep_to_a_size(spark, tmp_path, rows):
+    text = F.repeat(F.lit("é"), (F.col("id") % 50).cast("int"))
+    df = spark.range(0, rows, 1, 4).select("id", text.alias("text"), (F.col("id") % 2).alias("n"))
+    target = 50_000
+    write_partitioned_json(df, str(tmp_path / "out"), ["n"], target_bytes=target)
+    sizes = [os.path.getsize(name) for name in glob.glob(f"{tmp_path}/out/n=*/*.json")]
+    assert max(sizes) <= target
+    assert len(sizes) <= 8 + 3 * sum(sizes) / target
+    back = read_partitioned_json(spark, str(tmp_path / "out"), df.schema, ["n"])
+    assert back.count() == rows
+
+
+def test_files_by_size_of_no_rows_and_of_a_long_row(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, "y")], "id long, text string")
+    write_partitioned_json(df.coalesce(1), str(tmp_path / "long"), ["id"], target_bytes=100)
+    assert len(glob.glob(f"{tmp_path}/long/id=*/*.json")) == 2
+    write_partitioned_json(df.limit(0), str(tmp_path / "none"), ["id"], target_bytes=100)
+    assert read_partitioned_json(spark, str(tmp_path / "none"), df.schema, ["id"]).isEmpty()

@@ -1,8 +1,12 @@
-"""Sums that are the same in whatever order and layout the rows come."""
+"""Sums that are the same in whatever order and layout the rows come, and lose nothing."""
+
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallybrook.functions import Addend, Span, exact_mean, exact_sum, spans
 from tallybrook.operators import add_growth, per_invoice, summarise_invoices, summarise_sales
 from tallybrook.plans import storage
 
@@ -26,11 +30,76 @@ def test_layouts_give_equal_sums(lines, partitions):
     assert measured(lines.repartition(partitions)) == measured(lines.coalesce(1))
 
 
-def test_numbers_that_are_none_take_no_part(spark):
-    rows = [(1, 2.0, 1.5), (1, float("nan"), 1.0), (1, 1.0, float("inf")), (1, None, 4.0)]
+def _drawn(kind, seed):
+    """Lists of doubles of one kind."""
+    generator = random.Random(seed)
+    draw = {
+        "money": lambda: round(generator.uniform(-1e5, 1e5), 2),
+        "wide": lambda: generator.uniform(-1, 1) * 10.0 ** generator.randrange(-300, 300),
+        "tiny": lambda: math.ldexp(generator.randrange(1, 100), -1074),
+        "huge": lambda: generator.choice([-1, 1]) * generator.uniform(1e300, 1.7e308) / 400,
+        "powers": lambda: generator.choice([-1, 1]) * 2.0 ** generator.randrange(-60, 60),
+        "large whole": lambda: float(generator.randrange(10**18, 10**25)),
+    }[kind]
+    return [draw() for _ in range(400)]
+
+
+@pytest.mark.parametrize("kind", ["money", "wide", "tiny", "huge", "powers", "large whole"])
+@pytest.mark.parametrize("cancelled", [False, True])
+def test_no_finite_value_is_lost(spark, kind, cancelled):
+    values = _drawn(kind, 1)
+    if cancelled:
+        values += [-value for value in values[3:]]
+        random.Random(2).shuffle(values)
+    df = spark.createDataFrame([(value,) for value in values], "v double")
+    span = spans(df, {"v": "v"})["v"]
+    expected = math.fsum(values)
+    found = [
+        df.repartition(n).agg(Addend.of("v", span).total().alias("t")).first().t for n in (1, 3, 97)
+    ]
+    assert len(set(found)) == 1
+    assert abs(found[0] - expected) <= 2 * math.ulp(expected)
+    # In two steps, by way of the parts.
+    parts = df.groupBy((F.abs(F.hash("v")) % 7).alias("k")).agg(Addend.of("v", span).partial().alias("p"))
+    assert parts.agg(Addend.again(parts, "p").total().alias("t")).first().t == found[0]
+
+
+def _summed(spark, values, kind="double"):
+    df = spark.createDataFrame([(value,) for value in values], f"v {kind}")
+    return df.agg(exact_sum(df, "v", 6).alias("s"), exact_mean("v", spans(df, {"v": "v"})["v"]).alias("m")).first()
+
+
+def test_numbers_that_are_not_finite_count_as_in_ieee_754(spark):
+    inf, nan = float("inf"), float("nan")
+    assert _summed(spark, [1.0, inf, 1e300]).s == inf
+    assert _summed(spark, [1.0, -inf, None]).s == -inf
+    assert math.isnan(_summed(spark, [inf, -inf, 1.0]).s)
+    assert math.isnan(_summed(spark, [nan, 1.0]).m)
+    assert tuple(_summed(spark, [None, None])) == (None, None)
+    assert tuple(_summed(spark, [])) == (None, None)
+    assert tuple(_summed(spark, [0.0, -0.0, None])) == (0.0, 0.0)
+    assert _summed(spark, [1.7e308, 1.7e308]).s == inf
+    rows = [(1, 2.0, 1.5), (1, nan, 1.0), (1, 1.0, inf), (1, None, 4.0)]
     df = spark.createDataFrame(rows, "InvoiceNo int, Quantity double, UnitPrice double")
     row = summarise_sales(df).first()
-    assert (row.num_records, row.total_quantity, row.invoice_value) == (4, 3.0, 3.0)
+    assert row.num_records == 4 and math.isnan(row.total_quantity) and math.isnan(row.invoice_value)
+    assert row.avg_price == inf
+
+
+def test_small_and_large_values_together(spark):
+    row = _summed(spark, [1e19, 5.0, 1e-7, -1e19])
+    assert row.s == 5.0 and row.m == pytest.approx((5 + 1e-7) / 4, rel=1e-15)
+    assert tuple(_summed(spark, [0.5, 0.25], "float")) == (0.75, 0.375)
+    assert tuple(_summed(spark, [3, 4], "int")) == (7, 3.5)
+
+
+def test_a_span_that_is_wider_changes_nothing(spark):
+    values = _drawn("money", 5)
+    df = spark.createDataFrame([(value,) for value in values], "v double")
+    narrow = spans(df, {"v": "v"})["v"]
+    assert len(narrow.units()) <= 6
+    sums = {df.agg(Addend.of("v", s).total()).first()[0] for s in (narrow, Span(-200, 300), Span(-1074, 1024))}
+    assert len(sums) == 1
 
 
 def test_running_sums_are_exact(spark):
@@ -50,3 +119,14 @@ def test_balance_does_not_depend_on_the_layout(spark, tmp_path, rows, files):
     orders.repartition(files).write.parquet(f"{tmp_path}/orders.parquet")
     found = storage.partition_balance(spark, str(tmp_path)).first()
     assert tuple(found) == (storage.PARTITIONS, rows, True, True)
+
+
+def test_running_sums_in_slices_lose_nothing(spark):
+    generator = random.Random(8)
+    rows = [("a", i, generator.choice([1e16, -1e16, 0.25, 1.0, None])) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(9)
+    for slices in ([], [F.floor(F.col("t") / 40)]):
+        total = 0
+        for row in add_growth(df, ["k"], ["t"], "v", slices=slices).orderBy("t").collect():
+            total += int((row.v or 0) * 4)
+            assert row.AccumulateValue == total / 4
