@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions import Addend, exact_mean, parsed_date, spans
+from tallybrook.functions import Addend, Span, exact_mean, parsed_date, spans
 
 
 def _grouped(df: DataFrame, keys: Sequence[Column | str], measures: dict[str, Column],
@@ -16,6 +16,14 @@ def _grouped(df: DataFrame, keys: Sequence[Column | str], measures: dict[str, Co
     return df.groupBy(*keys).agg(*[measures[name].alias(name) for name in names])
 
 
+def _spans(lines: DataFrame, quantity: str, price: str) -> dict[str, Span | None]:
+    found = spans(lines, {"quantity": quantity, "price": price})
+    amount, each = found["quantity"], found["price"]
+    if amount and each:
+        return {**found, "value": amount.times(each)}
+    return {**found, **spans(lines, {"value": F.col(quantity) * F.col(price)})}
+
+
 def summarise_sales(
     lines: DataFrame,
     keys: Sequence[Column | str] = (),
@@ -32,7 +40,7 @@ def summarise_sales(
     the mean. For them the two columns are read once before, see :func:`spans`.
     """
     values = {"price": F.col(price), "quantity": F.col(quantity), "value": F.col(quantity) * F.col(price)}
-    wide = spans(lines, values)
+    wide = _spans(lines, quantity, price)
     mean = exact_mean(values["price"], wide["price"])
     measures = {
         "num_records": F.count(F.lit(1)),
@@ -57,10 +65,11 @@ def per_invoice(
     of all lines is already one row per map task when it is shuffled. The
     grouping and the join share that one exchange.
     """
-    values = {"InvoiceQuantity": F.col(quantity), "InvoiceValue": F.col(quantity) * F.col(price)}
-    wide = spans(lines, values)
+    wide = _spans(lines, quantity, price)
+    value = F.col(quantity) * F.col(price)
     return lines.groupBy(invoice).agg(
-        *[Addend.of(value, wide[name]).partial().alias(name) for name, value in values.items()]
+        Addend.of(quantity, wide["quantity"]).partial().alias("InvoiceQuantity"),
+        Addend.of(value, wide["value"]).partial().alias("InvoiceValue"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,16 @@ SCHEMAS = {
 }
 
 
+@lru_cache(maxsize=256)
+def _checked(path: str, name: str) -> None:
+    read_files(SparkSession.active(), path, "parquet", SCHEMAS[name])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_files(spark, f"{sf_dir}/{name}.parquet", "parquet", SCHEMAS[name])
+    """One of the given tables. A path is asked for its columns when it is first read."""
+    path = f"{sf_dir}/{name}.parquet"
+    _checked(path, name)
+    return read_files(spark, path, "parquet", SCHEMAS[name], check=False)
 
 
 def _day_text(pattern: str):

@@ -31,11 +31,14 @@ def read_files(
     fmt: str,
     schema: StructType | str | None = None,
     options: Mapping[str, str] | None = None,
+    check: bool = True,
 ) -> DataFrame:
     """Scan ``parquet``, ``orc``, ``avro``, ``json`` (lines) or ``csv`` (with header).
 
     Without a schema, CSV and JSON are read once more to infer it; with one, the
-    columns come back in its order and with its types.
+    columns come back in its order and with its types. Unless ``check`` is off, Parquet
+    and ORC are asked for the columns of the schema first, by the footer that Spark
+    infers a schema from: one file of a folder.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -43,7 +46,7 @@ def read_files(
         if schema is None:
             reader = reader.option("inferSchema", "true")
     if schema is not None:
-        if fmt in _WITH_NAMES:
+        if check and fmt in _WITH_NAMES:
             _check_names(spark, path, fmt, schema)
         reader = reader.schema(schema)
     df = reader.options(**(options or {})).load(path)
