@@ -7,10 +7,13 @@ import shutil
 import tempfile
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+#: Where the tables of this process are that can be released.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def _local_folder() -> str:
@@ -38,7 +41,31 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in a fresh folder, for a result that is read more than once."""
-    path = scratch_folder(df.sparkSession, label)
+    """``df`` as a table in a fresh folder, for a result that is read more than once.
+
+    The shuffle files of the job are handed back at once. Spark deletes them when the
+    driver happens to collect the garbage that refers to them, which for a long chain of
+    jobs is after all of them have filled the disks.
+    """
+    spark = df.sparkSession
+    path = scratch_folder(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written`, once all that is made of them is written itself.
+
+    What was written since doesn't read them again, an executor that is lost included.
+    On a session without a JVM at hand they stay, as other scratch tables do.
+    """
+    for table in tables:
+        path, jvm = _paths.pop(table, None), getattr(table.sparkSession, "_jvm", None)
+        if path is not None and jvm is not None:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
