@@ -41,12 +41,12 @@ def boilerplate(
     length, so a host has at most (mean lines per page) / ratio such keys, however
     many pages it has.
     """
-    bare = F.filter(F.transform(_lines(F.col(text)), _bare), lambda line: line != "")
+    bare = F.filter(F.transform(_lines(F.col(f"`{text}`")), _bare), lambda line: line != "")
     keys = F.array_distinct(F.transform(bare, lambda line: F.xxhash64(line)))
-    found = pages.select(F.col(host).alias("host"), F.explode(keys).alias("key"))
+    found = pages.select(F.col(f"`{host}`").alias("host"), F.explode(keys).alias("key"))
     counted = found.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
     frequent = counted.filter(F.col("n") >= least_pages)
-    totals = pages.groupBy(F.col(host).alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    totals = pages.groupBy(F.col(f"`{host}`").alias("of")).agg(F.count(F.lit(1)).alias("total"))
     return (
         frequent.join(totals, F.col("host").eqNullSafe(F.col("of")))
         .filter(F.col("n") > ratio * F.col("total"))
@@ -61,13 +61,14 @@ def without_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """``pages`` with ``text`` rid of boilerplate, and ``n_lines`` and ``n_dropped``.
+    """``pages`` with ``text`` rid of boilerplate, and the ``counts`` of lines and of dropped ones.
 
     Lines are compared without the blanks around them. Blank lines are neither
     counted nor dropped. NULL hosts are one host. A NULL text stays NULL and a
     page may end up empty; no page is lost. Repeated rows count as pages of their
-    own. Other columns pass through, but for earlier ``n_lines`` and ``n_dropped``.
+    own. Other columns pass through, but for earlier ones with the names of the ``counts``.
     """
     # Stored, so that the planner knows its size before it picks the join.
     known = written(boilerplate(pages, host, text, ratio, least_pages), "boilerplate")
@@ -79,13 +80,13 @@ def without_boilerplate(
     )
     kept = F.when(F.col(_DROPPED).isNull(), lines).otherwise(kept)
     filled = F.size(F.filter(lines, lambda line: _bare(line) != ""))
-    others = [F.col(f"`{name}`") for name in pages.columns if name not in (text, "n_lines", "n_dropped")]
+    others = [F.col(f"`{name}`") for name in pages.columns if name not in (text, *counts)]
     blank = F.col(f"`{text}`").isNull()
     return joined.select(
         *others,
         F.array_join(kept, "\n").alias(text),
-        F.when(blank, 0).otherwise(filled).alias("n_lines"),
-        F.when(blank, 0).otherwise(F.size(lines) - F.size(kept)).alias("n_dropped"),
+        F.when(blank, 0).otherwise(filled).alias(counts[0]),
+        F.when(blank, 0).otherwise(F.size(lines) - F.size(kept)).alias(counts[1]),
     )
 
 

@@ -272,8 +272,9 @@ def labelled_sample(
     usable = labels.filter(F.col(label).isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
     chosen = usable.select("doc_id", label).orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(most)
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), label).toPandas()
-    found = found.sort_values(["doc_id", "text"]).head(most)
+    # An id may have any number of rows, so they are bounded before they come to the driver.
+    found = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), label)
+    found = found.orderBy("doc_id", "text").limit(most).toPandas()
     return list(found["text"]), [int(x > 0) for x in found[label]]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -209,7 +210,7 @@ def _kinds(texts: Sequence[str]) -> list[int]:
     factors = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
     for i, text in enumerate(texts):
         words = text.split()
-        shingles = {hash(tuple(words[k : k + 3])) & 0xFFFFFFFF for k in range(max(1, len(words) - 2))}
+        shingles = {zlib.crc32(" ".join(words[k : k + 3]).encode()) for k in range(max(1, len(words) - 2))}
         for number, factor in enumerate(factors):
             least = min((s ^ (s >> 15)) * factor & 0xFFFFFFFF for s in shingles)
             other = firsts.setdefault((number, least), i)

@@ -1,6 +1,7 @@
 """The two classifiers: their parts against brute force, and held-out rows."""
 
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -99,3 +100,59 @@ def test_odd_rows_are_scored(spark):
         found = scored.select("doc_id", "score", "p").collect()
         assert len(found) == len(rows) and all(0 <= row.p <= 1 for row in found)
         assert len({row.p for row in found if row.doc_id == 3}) == 1
+
+
+def test_toxicity_ranks_held_out_rows(spark):
+    folder = SF_DIR.replace("sf0.001", "sf0.1")
+    scored = QUERIES["op1_toxicity"](spark, folder).filter("held_out")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic IS NOT NULL")
+    rows = scored.join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    bad = sorted(row.score for row in rows if row.toxic)
+    good = sorted(row.score for row in rows if not row.toxic)
+    wins = sum((b > g) + (b == g) / 2 for b in bad for g in good)
+    assert wins >= 0.9 * len(bad) * len(good)
+    caught = sum(row.predicted for row in rows if row.toxic)
+    assert caught >= 0.8 * len(bad) and caught >= 0.8 * sum(row.predicted for row in rows)
+
+
+_FITTED = """
+import random
+from tallybrook.llm import toxicity
+draw = random.Random(1)
+def text(marks):
+    words = ["w%d" % draw.randrange(4000) for _ in range(40)]
+    return " ".join(words[:20] + ["you", draw.choice(marks)] + words[20:])
+texts = [text(["zorkel", "grimbat", "vexling"]) for _ in range(150)] + [text(["garden", "bridge"]) for _ in range(150)]
+model = toxicity.trained(texts, [1] * 150 + [0] * 150)
+print(sorted(model.pieces.items()), [model.toxicity(text) for text in texts[::17]])
+"""
+
+
+def test_another_process_learns_the_same():
+    import os
+    import subprocess
+    import sys
+
+    def fitted(seed):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        env = {**os.environ, "PYTHONHASHSEED": seed, "PYTHONPATH": root}
+        return subprocess.run([sys.executable, "-c", _FITTED], env=env, capture_output=True, text=True, check=True).stdout
+
+    assert fitted("1") == fitted("2") and "zorkel" in fitted("3")
+
+
+def test_clauses_without_a_match_weigh_nothing():
+    model = toxicity.ToxicityModel({"moron$": 6.0, "idio": 5.0}, -4.0, (2.0, 2.0))
+    generator = random.Random(3)
+    words = ["you", "moron", "idiots", "not", "he", "said", "i", "will", "kill", "the", "process", "fine", "them", "all"]
+    for _ in range(500):
+        clauses = [" ".join(generator.choices(words, k=generator.randrange(1, 8))) for _ in range(6)]
+        every = [weight for weight in map(model.clause, clauses) if weight]
+        assert model.clauses("; ".join(clauses)) == every
+
+
+def test_a_repeated_id_is_bounded_before_the_driver(spark):
+    documents = spark.createDataFrame([(1, f"text {i:03}") for i in range(300)] + [(2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    texts, known = quality.labelled_sample(documents, labels, "quality", 5, 9, 50)
+    assert texts == [f"text {i:03}" for i in range(50)] and known == [1] * 50

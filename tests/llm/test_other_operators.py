@@ -288,3 +288,13 @@ def test_pipeline_stages_on_a_small_corpus(spark, tmp_path):
     assert kept[0] - {203} == good and kept[1] == kept[0]
     assert kept[2] - {203} == good - {201, 202}
     assert kept[3] - {203} == kept[4] - {203} == good - {200, 201, 202}
+
+
+def test_stages_keep_rows_of_one_id_and_columns_with_their_names(spark):
+    rows = [(1, "one two three four five six seven", "s", 77, 5), (2, "nothing like the others in here at all", "s", 77, 5)]
+    rows += [(2, "another text of the same id but not the same words", "s", 77, 5), rows[0]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_lines int, n_dropped int")
+    cleaned = corpus_pipeline.without_boilerplate(spark, df, "")
+    assert sorted(cleaned.collect()) == sorted(df.collect())
+    kept = corpus_pipeline.one_of_each(spark, df, "")
+    assert sorted(tuple(row) for row in kept.collect()) == sorted(set(rows))
