@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.scratch import written
+from tallybrook.scratch import released, written
 
 
 def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
@@ -28,6 +28,7 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
             hung.select("a", F.col("m").alias("b"))
         )
         after = written(small.filter("a <> b").distinct(), "links")
+        released(edges)
         # Done when every node hangs on a root: one that hangs on nothing.
         roots = after.select(F.col("b").alias("a")).distinct().join(after, "a", "left_semi")
         once = after.groupBy("a").count().filter("count > 1")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm.common import table
 from tallybrook.llm.components import components
 from tallybrook.llm.shingles import WordHashes, shingle_set, split_words
-from tallybrook.scratch import written
+from tallybrook.scratch import released, written
 
 SHINGLE, PERCENT = 3, 90
 _SETS = "doc_id long, node long, n int, n_low int, keys array<long>, parity array<long>"
@@ -260,10 +260,17 @@ def similar_documents(
         F.first("parity").alias("parity"),
     )
     sets = written(sets, "nodes")
-    rows = written(_index_rows(sets, percent), "index")
+    # From here on keys and sketches are there once, and documents have the number of their set.
+    documents_of = written(known.select("doc_id", "node", "n"), "documents")
+    released(known)
+    known, filled = documents_of, documents_of.filter("n > 0")
+    index = written(_index_rows(sets, percent), "index")
+    whole, sets = sets, written(sets.select("node", "least", "n", "parity"), "sketches")
+    released(whole)
     # Only sets that meet another one are read in full.
-    met = rows.groupBy("key").count().filter("count > 1")
-    rows = written(rows.join(met.select("key"), "key", "left_semi"), "blocks")
+    met = index.groupBy("key").count().filter("count > 1")
+    rows = written(index.join(met.select("key"), "key", "left_semi"), "blocks")
+    released(index)
     wanted = rows.select("node").distinct().join(sets.select("node", "least"), "node")
     full = texts.join(wanted, F.col("doc_id") == F.col("least")).select("node", "text")
     grams = full.mapInPandas(_grams(length), _GRAMS).dropDuplicates(["node"])
