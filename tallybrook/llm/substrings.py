@@ -18,16 +18,18 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.common import table
 from tallybrook.llm.shingles import WordHashes, runs, split_words
-from tallybrook.scratch import written
+from tallybrook.scratch import released, written
 
 WINDOW = 20
 ANCHOR = 8
 #: A shard with more distinct segments is cut further, by whole windows.
 MOST_SEGMENTS = 512
 
-_CUTS = "doc_id long, cuts array<struct<key: long, start: int, size: int, content: long>>"
-_SEGMENTS = "key long, doc_id long, start int, words array<long>"
-_SPAN = "doc_id long, start int, size int"
+_TEXTS_AT_ONCE = 500
+
+_CUTS = "doc_id long, row long, cuts array<struct<key: long, start: int, size: int, content: long>>"
+_SEGMENTS = "key long, doc_id long, row long, start int, words array<long>"
+_SPAN = "doc_id long, row long, start int, size int"
 
 
 class SuffixAutomaton:
@@ -108,12 +110,15 @@ def _cuts_of(words: np.ndarray, window: int, anchor: int) -> list[tuple[int, int
 def _cut(window: int, anchor: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for frame in frames:
-            cuts = []
-            for text in frame["text"]:
-                words = split_words(text)
-                cuts.append(_cuts_of(hashes.of(words, len(words)), window, anchor))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "cuts": cuts})
+        # Cuts are Python objects, so only those of a few texts are held at a time.
+        for whole in frames:
+            for at in range(0, len(whole), _TEXTS_AT_ONCE):
+                frame = whole.iloc[at : at + _TEXTS_AT_ONCE]
+                cuts = []
+                for text in frame["text"]:
+                    words = split_words(text)
+                    cuts.append(_cuts_of(hashes.of(words, len(words)), window, anchor))
+                yield pd.DataFrame({"doc_id": frame["doc_id"], "row": frame["row"], "cuts": cuts})
 
     return run
 
@@ -125,7 +130,7 @@ def _read(window: int):
         hashes = WordHashes()
         for frame in frames:
             rows = []
-            for doc_id, text, wanted in zip(frame["doc_id"], frame["text"], frame["wanted"], strict=True):
+            for doc_id, row, text, wanted in zip(*(frame[c] for c in ("doc_id", "row", "text", "wanted")), strict=True):
                 words = split_words(text)
                 numbers = hashes.of(words, len(words))
                 whole = runs(numbers, window) if len(numbers) >= window else numbers[:0]
@@ -134,10 +139,10 @@ def _read(window: int):
                     start, size = item["start"], item["size"]
                     if item["hot"]:
                         keys = whole[start : start + size].view(np.int64)
-                        rows += [(int(key), doc_id, start + i, None) for i, key in enumerate(keys)]
+                        rows += [(int(key), doc_id, row, start + i, None) for i, key in enumerate(keys)]
                     else:
-                        rows.append((item["key"], doc_id, start, signed[start : start + size + window - 1]))
-            yield pd.DataFrame(rows, columns=["key", "doc_id", "start", "words"])
+                        rows.append((item["key"], doc_id, row, start, signed[start : start + size + window - 1]))
+            yield pd.DataFrame(rows, columns=["key", "doc_id", "row", "start", "words"])
 
     return run
 
@@ -153,7 +158,7 @@ def _stream(window: int):
         added: list[list[int]] = []
         for frame in frames:
             rows = []
-            for key, doc_id, start, words in zip(*(frame[c] for c in ("key", "doc_id", "start", "words")), strict=True):
+            for key, doc_id, row, start, words in zip(*(frame[c] for c in ("key", "doc_id", "row", "start", "words")), strict=True):
                 if key != shard:
                     shard, place_of, automaton, added = key, None, SuffixAutomaton(), []
                 if (doc_id, start) != place_of:
@@ -165,46 +170,53 @@ def _stream(window: int):
                     continue
                 for place, length in enumerate(automaton.matches(sequence)):
                     if length >= window:
-                        rows.append((doc_id, start + place - window + 1, 1))
+                        rows.append((doc_id, row, start + place - window + 1, 1))
                 added.append(sequence)
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "size"]).astype("int64")
+            yield pd.DataFrame(rows, columns=["doc_id", "row", "start", "size"]).astype("int64")
 
     return run
 
 
 def _later(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """``(firsts, spans)``: the first of equal rows, and the places of all others."""
-    firsts = rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "start", "size")).alias("first"))
+    firsts = rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "start", "size", "row")).alias("first"))
     firsts = written(firsts, "firsts")
     place = F.struct("doc_id", "start")
     spans = rows.join(firsts, keys).filter(place > F.struct("first.doc_id", "first.start"))
-    return firsts, spans.select("doc_id", "start", "size")
+    return firsts, spans.select("doc_id", "row", "start", "size")
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
 
 
 def repeated_spans(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id, start, size``: runs of windows whose words start earlier elsewhere.
+    """``doc_id, row, start, size``: runs of windows whose words start earlier elsewhere.
 
     ``start`` is the first window, by its first word, and ``size`` how many follow each
-    other. Earlier means in a document with a smaller id, or before in the same one.
+    other. Earlier means in a document with a smaller id, or before in the same one. ``row``
+    is the hash of the text, which tells rows of one id from each other.
     """
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = _texts(documents)
     cuts = written(texts.filter("doc_id IS NOT NULL").mapInPandas(_cut(window, anchor), _CUTS), "cuts")
-    rows = cuts.select("doc_id", F.explode("cuts").alias("cut")).select("doc_id", "cut.*")
+    rows = cuts.select("doc_id", "row", F.explode("cuts").alias("cut")).select("doc_id", "row", "cut.*")
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     met = written(rows.join(often, "key"), "met")
+    released(cuts)
     # Segments with the same words: all but the first are known as a whole.
     firsts, spans = _later(met, ["key", "content"])
     several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     wanted = firsts.join(several, "key").select(
         F.col("first.doc_id").alias("doc_id"),
+        F.col("first.row").alias("row"),
         F.struct("key", "first.start", "first.size", (F.col("n") > MOST_SEGMENTS).alias("hot")).alias("item"),
     )
-    wanted = wanted.groupBy("doc_id").agg(F.collect_list("item").alias("wanted"))
-    asked = texts.join(wanted, "doc_id").select("doc_id", "text", "wanted")
+    wanted = wanted.groupBy("doc_id", "row").agg(F.collect_list("item").alias("wanted"))
+    asked = texts.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "wanted")
     segments = written(asked.mapInPandas(_read(window), _SEGMENTS), "segments")
     shards = segments.filter("words IS NOT NULL").repartition("key").sortWithinPartitions("key", "doc_id", "start")
     matched = shards.mapInPandas(_stream(window), _SPAN)
-    single = segments.filter("words IS NULL").select("key", "doc_id", "start", F.lit(1).alias("size"))
+    single = segments.filter("words IS NULL").select("key", "doc_id", "row", "start", F.lit(1).alias("size"))
     _, cold = _later(single, ["key"])
     return spans.unionByName(matched).unionByName(cold)
 
@@ -215,10 +227,11 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = AN
     Words are runs between the six ASCII blanks, taken as they are; ``kept`` joins them
     by one space. A text with fewer words than a window is kept. NULL and blank texts
     have no words. Repeated rows with one id are one document, so neither removes the
-    other. Rows without an id are compared with nothing. Windows go by 64-bit hashes.
+    other; rows of one id with several texts lose what they repeat themselves, none
+    what another one does. Rows without an id are compared with nothing. Windows go by 64-bit hashes.
     """
     spans = repeated_spans(documents, window, anchor)
-    listed = spans.groupBy(F.col("doc_id").alias("of")).agg(
+    listed = spans.groupBy(F.col("doc_id").alias("of"), F.col("row").alias("of_row")).agg(
         F.collect_list(F.struct("start", "size")).alias("spans")
     )
 
@@ -238,8 +251,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, anchor: int = AN
             rows.append((len(words), len(words) - len(left), b" ".join(left).decode()))
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    joined = texts.join(listed, F.col("doc_id") == F.col("of"), "left")
+    joined = _texts(documents).join(listed, (F.col("doc_id") == F.col("of")) & (F.col("row") == F.col("of_row")), "left")
     return joined.select("doc_id", kept("text", "spans").alias("found")).select("doc_id", "found.*")
 
 

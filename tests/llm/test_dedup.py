@@ -173,3 +173,22 @@ def test_a_line_on_exactly_the_ratio_stays(spark):
     rows = [(i, "a", "often" if i < 3 else f"line {i}") for i in range(10)]
     kept = line_dedup.without_boilerplate(_frame(spark, rows), ratio=0.3)
     assert kept.filter(F.col("text") == "often").count() == 3
+
+
+def test_two_texts_of_one_id_keep_what_only_the_other_repeats(spark):
+    generator = random.Random(12)
+    passage, own, other = (_noise(generator, 30) for _ in range(3))
+    first, second = [*passage, *own], [*other, *_noise(generator, 20)]
+    rows = [(1, " ".join(passage)), (2, " ".join(first)), (2, " ".join(second)), (2, " ".join(first))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(tuple(row) for row in substrings.without_repeats(df).collect())
+    assert found == sorted([(1, 30, 0, rows[0][1]), (2, 50, 0, rows[2][1]), *[(2, 60, 30, " ".join(own))] * 2])
+
+
+def test_hosts_may_be_in_a_column_with_a_dot(spark):
+    rows = [(i, "a", f"menu\nown {i}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, `site.host` string, `the.text` string")
+    found = line_dedup.without_boilerplate(df, "site.host", "the.text", counts=("n", "m"))
+    assert sorted(tuple(row) for row in found.select("doc_id", "`the.text`", "n", "m").collect()) == [
+        (i, f"own {i}", 2, 1) for i in range(8)
+    ]
