@@ -11,11 +11,12 @@ from tallybrook.operators.filters import flagged_detail, size_at_least, size_in_
 from tallybrook.operators.joins import join_shared_key
 from tallybrook.operators.layout import partition_count, physical_partitions, spread
 from tallybrook.operators.preview import counted, preview
-from tallybrook.operators.windows import add_growth, cut_evenly, number_rows
+from tallybrook.operators.windows import add_growth, cut_by_range, cut_evenly, number_rows
 
 __all__ = [
     "add_growth",
     "counted",
+    "cut_by_range",
     "cut_evenly",
     "flagged_detail",
     "flagged_per_year",

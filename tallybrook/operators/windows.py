@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tallybrook.functions import Addend, Span, spans
+from tallybrook.scratch import written
 
 _RANK, _TERM, _PREVIOUS = "_seed_rank", "_seed_term", "_previous"
 _CUT_INPUT, _CUT_OUTPUT = "_cut_input", "_cut_output"
@@ -63,6 +64,32 @@ def cut_evenly(
     return cut.select(*df.columns, F.col(_CUT_OUTPUT).cast("int").alias(name))
 
 
+#: Ranges of one cut; the driver holds some hundred sampled keys of each.
+_MOST_RANGES = 10_000
+
+
+def cut_by_range(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    rows_per_slice: int = 1_000_000,
+    at_least: int = 8,
+) -> DataFrame:
+    """``df`` as a stored table with ``name``, consecutive ranges by ``keys`` and ``order``.
+
+    The columns may be of any type that sorts: texts, dates, several of them. Rows are
+    dealt by ranges of all of them together, so a group is cut wherever it is large and
+    many small groups share a slice. Rows with equal keys and order stay together. Within a
+    group the numbers never decrease along ``order``, which is what ``slices`` of
+    :func:`number_rows` and :func:`add_growth` need. They are stored with the rows, so they
+    stay the same when an executor is lost.
+    """
+    slices = min(_MOST_RANGES, max(at_least, -(-df.count() // rows_per_slice)))
+    dealt = df.repartitionByRange(slices, *keys, *order)
+    return written(dealt.withColumn(name, F.spark_partition_id()), "ranges")
+
+
 def _quantiles(df: DataFrame, column: str, slices: int, share: float) -> list[float]:
     """Distinct inner bounds of ``slices`` ranges, in order, from a share of the rows."""
     values = df.select(F.col(column).cast("double").alias(_CUT_INPUT)).filter(
@@ -113,6 +140,10 @@ def _seeded(
         return rows, cut
 
     totals = [F.sum(name).alias(name) for name in adding]
+    if len(slices) == 1 and dict(rows.dtypes)[names[0]] in ("int", "bigint"):
+        return rows.unionByName(
+            _seeds_in_levels(rows, keys, order, names[0], adding, value), allowMissingColumns=True
+        ), cut
     along = W.partitionBy(*keys).orderBy(*names)
     before = along.rowsBetween(W.unboundedPreceding, -1)
     seed = [F.lit(0).alias(_RANK), *[F.sum(name).over(before).alias(name) for name in adding]]
@@ -123,6 +154,56 @@ def _seeded(
     return rows.unionByName(seeds, allowMissingColumns=True), cut
 
 
+#: Slices whose totals one window goes through.
+_SLICES_TOGETHER = 1024
+
+
+def _seeds_in_levels(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], cut: str, adding: Sequence[str], value: str | None
+) -> DataFrame:
+    """Seed rows of numbered slices, by a scan of the totals of slices in two levels.
+
+    The slices of a group are taken by the thousand. Within such a run each slice gets what
+    comes before it, and the run gets what comes before the run. So no task goes through all
+    slices of a hot group.
+    """
+    run, last, held = "_seed_run", "_seed_last", "_seed_held"
+    totals = [F.sum(name).alias(name) for name in adding]
+    if value:
+        # In a struct, so that a last value of NULL differs from there being none.
+        totals.append(F.struct(_last_value(value, order).alias("v")).alias(last))
+    parts = rows.groupBy(*keys, cut).agg(*totals).withColumn(run, F.floor(F.col(cut) / _SLICES_TOGETHER))
+    inside = W.partitionBy(*keys, run).orderBy(cut)
+    before = inside.rowsBetween(W.unboundedPreceding, -1)
+    found = {f"{held}{name}": F.sum(name).over(before) for name in adding}
+    if value:
+        found[f"{held}{last}"] = F.lag(last).over(inside)
+    within = parts.withColumns(found)
+    # The same for the runs.
+    whole = [F.sum(name).alias(name) for name in adding]
+    whole += [F.max_by(last, F.struct(cut)).alias(last)] if value else []
+    runs = parts.groupBy(*keys, run).agg(*whole)
+    along = W.partitionBy(*keys).orderBy(run)
+    ahead = {f"_ahead{name}": F.sum(name).over(along.rowsBetween(W.unboundedPreceding, -1)) for name in adding}
+    if value:
+        ahead[f"_ahead{last}"] = F.lag(last).over(along)
+    runs = runs.select(*[F.col(key).alias(f"_of{i}") for i, key in enumerate(keys)], F.col(run).alias("_of_run"), *[c.alias(n) for n, c in ahead.items()])
+    same = F.col(run).eqNullSafe(F.col("_of_run"))
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_of{i}"))
+    both = within.join(runs, same)
+    sums = [
+        F.when(
+            F.col(f"{held}{name}").isNotNull() | F.col(f"_ahead{name}").isNotNull(),
+            F.coalesce(F.col(f"{held}{name}"), F.lit(0)) + F.coalesce(F.col(f"_ahead{name}"), F.lit(0)),
+        ).alias(name)
+        for name in adding
+    ]
+    if value:
+        sums.append(F.coalesce(F.col(f"{held}{last}"), F.col(f"_ahead{last}"))["v"].alias(value))
+    return both.select(*keys, cut, F.lit(0).alias(_RANK), *sums)
+
+
 def _unseeded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(F.col(_RANK) == 1).select(*columns)
 

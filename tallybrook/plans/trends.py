@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybrook.operators import add_growth, cut_evenly, number_rows
+from tallybrook.operators import add_growth, cut_by_range, cut_evenly, number_rows
 from tallybrook.plans import tables
 from tallybrook.plans.tables import EXACT
 
@@ -42,6 +43,30 @@ def order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("slice")
 
 
+_BY_DAY = ["order_day", "priority", "o_orderkey"]
+
+
+def growth_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, growth and running total of every order of a status, by day, priority and key.
+
+    A status has up to half of all orders; they are cut by ranges of a date, a text and a
+    number together.
+    """
+    orders = tables.table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("Country"),
+        F.to_date("o_orderdate").alias("order_day"),
+        F.col("o_orderpriority").alias("priority"),
+        "o_orderkey",
+        F.col("o_totalprice").alias("InvoiceValue"),
+    )
+    cut = cut_by_range(orders, ["Country"], _BY_DAY, "slice")
+    numbered = number_rows(cut, ["Country"], _BY_DAY, slices=["slice"])
+    grown = add_growth(
+        numbered, ["Country"], _BY_DAY, "InvoiceValue", slices=["slice"], span=tables.order_values(spark, sf_dir)
+    )
+    return grown.drop("slice")
+
+
 _ORDERS_SQL = """
     SELECT n_name AS Country, o_orderkey, CAST(o_orderdate AS DATE) AS order_day,
            o_totalprice AS InvoiceValue
@@ -82,7 +107,16 @@ def _number_sql(source: str, order: str) -> str:
     """
 
 
+_DAYS_SQL = """
+    SELECT *, row_number() OVER (PARTITION BY Country ORDER BY order_day NULLS FIRST, priority NULLS FIRST,
+                                 o_orderkey NULLS FIRST) AS RowNum
+    FROM (SELECT o_orderstatus AS Country, CAST(o_orderdate AS DATE) AS order_day, o_orderpriority AS priority,
+                 o_orderkey, o_totalprice AS InvoiceValue FROM orders)
+"""
+
+
 ORACLES = {
+    "growth_by_day": _growth_sql(_DAYS_SQL, "order_day NULLS FIRST, priority NULLS FIRST, o_orderkey"),
     "row_number_by_group": _number_sql(_WEEKS_SQL, "WeekNumber"),
     "weekly_growth": _growth_sql(_WEEKS_SQL, "WeekNumber"),
     "row_number_orders": _number_sql(_ORDERS_SQL, "o_orderkey"),

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators import add_growth, cut_evenly, number_rows
+from tallybrook.operators import add_growth, cut_by_range, cut_evenly, number_rows
+from tallybrook.operators import windows
 
 SEVEN = [
     ("a", 1, 10.0),
@@ -183,3 +184,40 @@ def test_slices_grow_with_the_rows(spark, rows):
     cut = cut_evenly(spark.range(rows), "id", "slice", rows_per_slice=20)
     sizes = cut.groupBy("slice").count().agg(F.count("*"), F.max("count")).first()
     assert sizes[0] > rows / 40 and sizes[1] < 200
+
+
+def _dated_rows(seed):
+    """Groups with dates, texts and numbers in their order, two thirds of all rows in one."""
+    rng = random.Random(seed)
+    days = [None, *[f"2020-01-{day:02}" for day in range(1, 12)]]
+    texts = [None, "", "a", "B", "\u00e9", "zz", "a\u0000"]
+    rows = []
+    for i in range(900):
+        key = rng.choice(["hot", "hot", "hot", "hot", "x", None])
+        rows.append((key, rng.choice(days), rng.choice(texts), i if i % 90 else None, rng.choice([None, 0.0, 1.5, -2.0, 8.25])))
+    unique = {(row[0], row[1], row[2], row[3]): row for row in rows}
+    return list(unique.values())
+
+
+@pytest.mark.parametrize("together", [2, 1024])
+def test_ranges_of_dates_and_texts_equal_a_plain_window(spark, monkeypatch, together):
+    monkeypatch.setattr(windows, "_SLICES_TOGETHER", together)
+    schema = "k string, day string, name string, i int, v double"
+    df = spark.createDataFrame(_dated_rows(together), schema).withColumn("day", F.to_date("day")).repartition(5)
+    order = ["day", "name", "i"]
+    cut = cut_by_range(df, ["k"], order, "slice", rows_per_slice=40)
+    assert cut.filter("k = 'hot'").select("slice").distinct().count() > 8
+    sliced, plain = (
+        add_growth(number_rows(frame, ["k"], order, slices=slices), ["k"], order, "v", slices=slices)
+        .select(*df.columns, "RowNum", "PercentGrowth", "AccumulateValue").collect()
+        for frame, slices in ((cut, ["slice"]), (df, []))
+    )
+    assert sorted(sliced, key=repr) == sorted(plain, key=repr)
+
+
+def test_ranges_without_keys_and_without_rows(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("t"), F.lit(1.0).alias("v"))
+    cut = cut_by_range(df, [], ["t"], "slice", rows_per_slice=20)
+    found = add_growth(cut, [], ["t"], "v", slices=["slice"])
+    assert [row.AccumulateValue for row in found.orderBy("t").collect()] == [float(n) for n in range(1, 501)]
+    assert cut_by_range(df.limit(0), [], ["t"], "slice").isEmpty()
