@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallybrook.functions import header_text
 from tallybrook.plans import tables
 from tallybrook.scratch import scratch_folder
-from tallybrook.sinks import FolderSink
+from tallybrook.sinks import FolderSink, ManifestSink, batches, read_batches
 from tallybrook.sources import file_stream
 from tallybrook.streaming import start_bridge, start_ingest
 
@@ -114,6 +114,30 @@ def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by the manifests of their batches, and the rows that the manifests state.
+
+    A second writer ends before its manifest, and the stored batch is replayed; neither
+    shows in the result.
+    """
+    target = scratch_folder(spark, "committed")
+    stored = ManifestSink(f"{target}/documents")
+    start_ingest(
+        messages(spark, sf_dir, spoilt=True),
+        stored,
+        ManifestSink(f"{target}/dead"),
+        f"{target}/checkpoint",
+        _UNTIL_READ,
+    ).awaitTermination()
+    documents = read_batches(spark, stored.path)
+    documents.write.parquet(f"{stored.path}/data/unfinished")
+    for batch in batches(spark, stored.path).select("query_id", "batch_id").toLocalIterator():
+        ManifestSink(stored.path, query=batch.query_id).write(documents, batch.batch_id)
+    stated = batches(spark, stored.path).agg(F.sum("num_rows").alias("rows_in_manifests"))
+    found = read_batches(spark, stored.path).select("topic", "partition", "offset", "value")
+    return found.withColumn("rows_in_manifests", F.lit(stated.first()[0]).cast("bigint"))
+
+
 _SPOILT_SQL = """
     SELECT event_id, user_id, props,
            CASE WHEN "value" < 0.5 THEN encode(left(props, length(props) - 1))
@@ -133,6 +157,11 @@ ORACLES = {
                CAST(json_extract(props, '$.k') AS BIGINT) AS k
         FROM ({_SPOILT_SQL}) WHERE bad IS NULL
     """,
+    "stream_committed": f"""
+        SELECT '{TOPIC}' AS topic, 0 AS partition, event_id AS "offset", props AS "value",
+               count(*) OVER () AS rows_in_manifests
+        FROM ({_SPOILT_SQL}) WHERE bad IS NULL
+    """,
     "stream_dlq": f"""
         SELECT hex(bad) AS value_hex, CAST(user_id AS VARCHAR) AS key,
                CASE WHEN error = 'not UTF-8 text' THEN left(hex(bad), 256)

@@ -2,10 +2,14 @@
 
 from tallybrook.sinks.batches import ConnectorSink, FolderSink
 from tallybrook.sinks.files import write_files, write_partitioned_json, write_two_formats
+from tallybrook.sinks.manifests import ManifestSink, batches, read_batches
 
 __all__ = [
     "ConnectorSink",
     "FolderSink",
+    "ManifestSink",
+    "batches",
+    "read_batches",
     "write_files",
     "write_partitioned_json",
     "write_two_formats",

@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _QUERY_ID = "sql.streaming.queryId"
 
 
+def query_id(spark: SparkSession) -> str:
+    """The id of the streaming query that a batch is written for; it outlives restarts."""
+    return spark.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+
+
 @dataclass(frozen=True)
 class FolderSink:
     """One folder per query and micro-batch.
@@ -25,7 +30,7 @@ class FolderSink:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty(_QUERY_ID) or "none"
+        query = query_id(spark)
         aside = f"{self.path}/_unfinished/{query}-{batch_id}"
         batch.write.format(self.fmt).mode("overwrite").save(aside)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

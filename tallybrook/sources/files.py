@@ -145,12 +145,19 @@ def file_stream(
     fmt: str,
     schema: StructType | str,
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """New files under ``path`` as a stream.
 
-    ``files_per_batch`` bounds a micro-batch, as a record bound does for a topic.
+    ``files_per_batch`` or ``bytes_per_batch`` bounds a micro-batch, as a record bound does
+    for a topic; Spark takes one of the two. With the latter a file that is larger is a
+    batch of its own, and otherwise no batch is.
     """
+    if files_per_batch is not None and bytes_per_batch is not None:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(path)

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -20,10 +20,11 @@ from tallybrook.functions import (
     over_parser_limits,
 )
 from tallybrook.sinks.batches import ConnectorSink, FolderSink
+from tallybrook.sinks.manifests import ManifestSink
 
 log = logging.getLogger(__name__)
 
-Sink = FolderSink | ConnectorSink
+Sink = FolderSink | ManifestSink | ConnectorSink
 
 _TEXT, _VALUES, _FAULT, _DOCUMENT = "text", "json_values", "fault", "document"
 _POSITION = ["topic", "partition", "offset"]
@@ -133,7 +134,7 @@ def start_ingest(
     checkpoint: str,
     trigger: Mapping[str, object],
     *,
-    metrics: FolderSink | None = None,
+    metrics: FolderSink | ManifestSink | None = None,
     schema: StructType | None = None,
     flat: bool = False,
     name: str | None = None,
@@ -149,7 +150,7 @@ def start_ingest(
     """
 
     # Connectors have no VARIANT type.
-    variant = schema is None and not flat and isinstance(documents, FolderSink)
+    variant = schema is None and not flat and isinstance(documents, FolderSink | ManifestSink)
     if flat and (schema is not None or documents.fmt != "text"):
         raise ValueError("flat documents are lines of text without a schema")
 
@@ -157,19 +158,16 @@ def start_ingest(
         # All outputs come from one read and one parse of the batch.
         needed = batch.select(*_POSITION, "key", "value", "headers")
         checked = judged(needed, variant).persist(StorageLevel.MEMORY_AND_DISK)
-        # Counted while the documents are written.
-        seen = Observation()
-        counted = checked.observe(
-            seen,
-            F.count(F.lit(1)).alias("num_in"),
-            F.count_if(F.col(_FAULT).isNull()).alias("num_stored"),
-            F.count_if(F.col(_FAULT).isNotNull()).alias("num_dead"),
-        )
         try:
             dead_letters.write(to_dead_letters(checked), batch_id)
-            made = to_flat_documents(counted) if flat else to_documents(counted, schema)
+            made = to_flat_documents(checked) if flat else to_documents(checked, schema)
             documents.write(made, batch_id)
-            counts = seen.get
+            # A sink that has the batch already reads nothing, so its write can't be observed.
+            counts = checked.agg(
+                F.count(F.lit(1)).alias("num_in"),
+                F.count_if(F.col(_FAULT).isNull()).alias("num_stored"),
+                F.count_if(F.col(_FAULT).isNotNull()).alias("num_dead"),
+            ).first()
             if metrics is not None:
                 row = tuple(counts[name] for name in _COUNTS)
                 metrics.write(batch.sparkSession.createDataFrame([row], _COUNTS_TYPE), batch_id)

@@ -18,7 +18,7 @@ from tallybrook.settings import (
     ingest_options,
     redacted,
 )
-from tallybrook.sinks.batches import ConnectorSink, FolderSink
+from tallybrook.sinks import ConnectorSink, FolderSink, ManifestSink
 from tallybrook.sources import kafka_stream
 from tallybrook.streaming.bridge import start_bridge
 from tallybrook.streaming.ingest import start_ingest
@@ -59,7 +59,7 @@ def ingest_job(
     *,
     polls_per_batch: int = POLLS_PER_BATCH,
     min_partitions: int | None = None,
-    metrics: FolderSink | None = None,
+    metrics: FolderSink | ManifestSink | None = None,
     schema: StructType | None = None,
 ) -> StreamingQuery:
     """Store the local topic's documents until the query is stopped."""
