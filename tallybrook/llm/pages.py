@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -24,6 +25,12 @@ SILENT_TAGS = frozenset(
     "script style head title noscript template svg math iframe object canvas audio video map "
     "select datalist button textarea option".split()
 )
+#: Silent elements that hold until their own end tag, whatever stands in them.
+_RAW_TAGS = frozenset("script style textarea".split())
+#: Silent elements that may stand in one another.
+_NESTED_TAGS = frozenset("svg math object canvas audio video map template".split())
+#: Elements that begin the text of a page, whatever was left open before them.
+_TEXT_STARTS = frozenset("body article main".split())
 BOILERPLATE_TAGS = frozenset("nav aside footer form menu dialog".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Words of a class, id or role that mark what is not part of the article.
@@ -42,6 +49,7 @@ _FIRM_MARKS = frozenset(
 )
 _FIRM_TAGS = frozenset("nav aside menu".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_END_TAG = re.compile(r"</(template|noscript)\b", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -55,6 +63,7 @@ class Block:
     article: int
     marked: int
     heading: int
+    wrapper: int = 0
 
 
 @dataclass
@@ -63,6 +72,7 @@ class _Open:
     article: bool
     marked: bool
     firm: bool = False
+    wrapper: int = 0
 
 
 @dataclass
@@ -72,21 +82,29 @@ class _State:
 
 
 class _Flattener(HTMLParser):
-    """Cuts a page into flat blocks; each knows the containers it stood in."""
+    """Cuts a page into flat blocks; each knows the containers it stood in.
 
-    def __init__(self) -> None:
+    A silent element without its end tag ends where the text has to go on: ``head`` at the
+    body or the first block, others (but for script, style and textarea) at the end tag of
+    an element open around them or at the next body, article or main. A template or
+    noscript may hold articles, so these end it only if none of its end tags is left.
+    """
+
+    def __init__(self, html: str = "") -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self._open: list[_Open] = [_Open("", False, False)]
-        self._silent: list[str] = []
+        self._silent = ""
+        #: What is open inside the silent element.
+        self._inside: list[str] = []
+        self._ends_left = Counter(tag.lower() for tag in _END_TAG.findall(html))
+        self._wrappers = 0
         self._links = 0
         self._heading = 0
         self._now = _State()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self._silent:
-            if tag == self._silent[-1] and tag not in VOID_TAGS:
-                self._silent.append(tag)
+        if self._silent and self._still_silent(tag):
             return
         if tag == "br":
             self._add(" ")
@@ -96,7 +114,7 @@ class _Flattener(HTMLParser):
         if tag in SILENT_TAGS:
             if tag == "head" or tag in BLOCK_TAGS:
                 self.end_block()
-            self._silent.append(tag)
+            self._silent = tag
             return
         if tag == "a":
             self._links += 1
@@ -106,6 +124,41 @@ class _Flattener(HTMLParser):
         if tag in BLOCK_TAGS or tag == "span":
             self._enter(tag, dict(attrs))
 
+    def _still_silent(self, tag: str) -> bool:
+        """Whether the start of ``tag`` leaves the silent element open."""
+        closing = {self._silent, *self._inside} & set(self._ends_left)
+        if self._silent in _RAW_TAGS:
+            return True
+        if tag in _TEXT_STARTS and (tag == "body" or not any(self._ends_left[t] > 0 for t in closing)):
+            self._loud()
+            return False
+        if self._silent == "head" and tag in BLOCK_TAGS - {"html"} and SILENT_TAGS.isdisjoint(self._inside):
+            self._loud()
+            return False
+        if tag == self._silent and tag not in _NESTED_TAGS:
+            self._inside.clear()
+        elif tag not in VOID_TAGS:
+            self._inside.append(tag)
+        return True
+
+    def _loud(self) -> None:
+        self._silent = ""
+        self._inside.clear()
+
+    def _still_silent_after(self, tag: str) -> bool:
+        """Whether the end of ``tag`` was inside the silent element or its own."""
+        if tag in self._inside:
+            del self._inside[len(self._inside) - 1 - self._inside[::-1].index(tag) :]
+            return True
+        if tag == self._silent:
+            self._loud()
+            return True
+        around = any(opened.tag == tag for opened in self._open) or (tag == "a" and self._links > 0)
+        if self._silent in _RAW_TAGS or not around:
+            return True
+        self._loud()
+        return False
+
     def _enter(self, tag: str, attrs: dict[str, str | None]) -> None:
         if tag in VOID_TAGS or tag == "html":
             return
@@ -126,7 +179,15 @@ class _Flattener(HTMLParser):
         # A mark on a wrapper, such as "with-sidebar", ends at the article in it.
         article = tag in ("article", "main") and not marked and not outer.firm
         firm = outer.firm or hidden or tag in _FIRM_TAGS or bool(tokens & _FIRM_MARKS)
-        self._open.append(_Open(tag, outer.article or article, marked or (outer.marked and not article), firm))
+        wrapper = 0 if article or firm else outer.wrapper
+        if marked:
+            # Only a mark in a name, or a form, may be that of a wrapper of the whole text.
+            named_only = tag == "form" or tag not in BOILERPLATE_TAGS | {"header"}
+            self._wrappers += 1
+            wrapper = self._wrappers if named_only and not firm else 0
+        self._open.append(
+            _Open(tag, outer.article or article, marked or (outer.marked and not article), firm, wrapper)
+        )
 
     def _leave(self, tag: str, within: frozenset[str] | None = None) -> None:
         for place in range(len(self._open) - 1, 0, -1):
@@ -137,15 +198,17 @@ class _Flattener(HTMLParser):
                 return
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self._silent:
+            return
         if tag == "br":
             self._add(" ")
         elif tag in BLOCK_TAGS:
             self.end_block()
 
     def handle_endtag(self, tag: str) -> None:
-        if self._silent:
-            if tag == self._silent[-1]:
-                self._silent.pop()
+        if tag in self._ends_left:
+            self._ends_left[tag] -= 1
+        if self._silent and self._still_silent_after(tag):
             return
         if tag == "a":
             self._links = max(0, self._links - 1)
@@ -178,6 +241,7 @@ class _Flattener(HTMLParser):
                     int(here.article),
                     int(here.marked),
                     int(self._heading > 0),
+                    here.wrapper,
                 )
             )
         self._now = _State()
@@ -185,7 +249,7 @@ class _Flattener(HTMLParser):
 
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order; a tag that the end cuts off is no text."""
-    flat = _Flattener()
+    flat = _Flattener(html)
     flat.feed(_CUT_TAG.sub("", html))
     flat.close()
     flat.end_block()
@@ -193,17 +257,24 @@ def blocks_of(html: str) -> list[Block]:
 
 
 def features(blocks: list[Block]) -> list[list[float]]:
-    """Marked, in an article, heading; then words and link density of a block and of both neighbours."""
+    """Marked, in an article, heading; words and link density of a block and of both neighbours;
+    and the share of the page's words in the marked wrapper around the block, if no article is told apart."""
+    told = any(b.article and not b.marked for b in blocks)
+    total = sum(b.words for b in blocks)
+    within: Counter[int] = Counter()
+    for b in blocks:
+        within[b.wrapper] += b.words
     shape = [(float(b.words), b.linked / b.words) for b in blocks]
     edge = (0.0, 0.0)
     return [
         [float(b.marked), float(b.article), float(b.heading), *shape[i], *(shape[i - 1] if i else edge),
-         *(shape[i + 1] if i + 1 < len(shape) else edge)]
+         *(shape[i + 1] if i + 1 < len(shape) else edge),
+         within[b.wrapper] / total if b.wrapper and not told else 0.0]
         for i, b in enumerate(blocks)
     ]
 
 
-#: Labelled by hand: marked, article, heading, words, link density, words and link
+#: Labelled by hand, without a marked wrapper: marked, article, heading, words, link density, words and link
 #: density of the block before, of the block after, and whether it is main text.
 LABELLED = """
 1 0 0   1 1.0   0 0.0   1 1.0  0
@@ -297,9 +368,22 @@ LABELLED = """
 """
 
 
+#: Shares of a page's words: a wrapper with that much is the page's layout, so its blocks
+#: are labelled like those without a mark; one with less is what its mark says.
+_LAYOUT_SHARES, _PART_SHARES = (0.6, 0.75, 0.95), (0.05, 0.2, 0.4)
+
+
 def trained_tree() -> Node:
-    rows = [[float(x) for x in line.split()] for line in LABELLED.strip().splitlines()]
-    return grown([row[:-1] for row in rows], [int(row[-1]) for row in rows])
+    rows, labels = [], []
+    for line in LABELLED.strip().splitlines():
+        *row, label = (float(x) for x in line.split())
+        rows.append([*row, 0.0])
+        labels.append(int(label))
+        if row[:2] == [0.0, 0.0]:
+            for share in _LAYOUT_SHARES + _PART_SHARES:
+                rows.append([1.0, *row[1:], share])
+                labels.append(int(label) if share in _LAYOUT_SHARES else 0)
+    return grown(rows, labels)
 
 
 def main_text(html: str | None, tree: Node) -> str:

@@ -188,6 +188,55 @@ def test_pages_without_article_go_by_words_and_links():
     assert [part.split()[0] for part in text.split("\n\n")] == ["word", "other", "more"]
 
 
+@pytest.mark.parametrize("silent", ["button", "svg", "noscript", "object", "canvas", "template", "select", "video"])
+@pytest.mark.parametrize("around", ["<div class=x>{}Buy <i>it</i></div>", "<p>{}Buy</p>", "{}Buy"])
+def test_an_unclosed_silent_element_does_not_silence_the_page(silent, around):
+    tree = pages.trained_tree()
+    kept = "<main><h1>Head</h1><p>The text is here.</p></main>"
+    assert pages.main_text(f"<body>{around.format(f'<{silent}>')}{kept}</body>", tree) == "Head\n\nThe text is here."
+    inner = f"<article><h1>Head</h1><div><{silent}>Buy</div><p>The text is here.</p></article>"
+    assert pages.main_text(f"<body>{inner}</body>", tree) == "Head\n\nThe text is here."
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>T</title><meta charset=utf-8>", "<head><title>T</title><noscript><img src=x></noscript><body>",
+    "<head><style>p {}</style><script>var a = '<p>no</p>';</script>", "<head><title>T</title></head><body>", "",
+])
+def test_a_head_ends_where_the_text_begins(head):
+    page = f"<html>{head}<article><p>The text is here.</p></article>"
+    assert pages.main_text(page, pages.trained_tree()) == "The text is here."
+    long = "<p>" + "</p><p>".join(f"{word} " * 40 for word in ("one", "two", "three")) + "</p>"
+    found = pages.main_text(f"<html>{head}{long}", pages.trained_tree())
+    assert [part.split()[0] for part in found.split("\n\n")] == ["one", "two", "three"]
+
+
+def test_closed_silent_elements_keep_what_is_in_them():
+    page = (
+        "<body><template><article><p>Not of the page.</p></article></template><article><p>One <button><p>Buy</p><span>now"
+        "</button>and two.</p><svg><g><text>chart</text></g><svg></svg></svg><select><option>a<option>b</select>"
+        "<noscript><article><p>Turn it on.</p></article></noscript><textarea><p>typed</textarea><p>Three.</p></article>"
+    )
+    assert pages.main_text(page, pages.trained_tree()) == "One and two.\n\nThree."
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class='layout-with-search'", "section class='social-science'", "form id='form1'",
+])
+def test_a_marked_wrapper_of_the_whole_text_is_weighed(wrapper):
+    words = ("one", "two", "three")
+    text = "".join(f"<p>{word} {'and so on ' * 15}</p>" for word in words)
+    menu = "<ul>" + "<li><a href=x>item</a></li>" * 5 + "</ul>"
+    share = "<div class='share'>Tell all of your friends about this story today please</div>"
+    cookies = f"<div class='cookie-notice'>{'We use cookies on this site. ' * 4}</div>"
+    comments = f"<div id='comments'><p>{'a reader says that ' * 20}</p></div>"
+    page = f"<body>{menu}<{wrapper}><h2>Head of it</h2>{text}{share}{comments}{menu}</{wrapper.split()[0]}>{cookies}</body>"
+    found = pages.main_text(page, pages.trained_tree()).split("\n\n")
+    assert [part.split()[0] for part in found] == ["Head", *words]
+    # The same mark beside an article, or on a small part, says what it always did.
+    beside = f"<body><article><p>The text.</p></article><{wrapper}>{text}</{wrapper.split()[0]}></body>"
+    assert pages.main_text(beside, pages.trained_tree()) == "The text."
+
+
 def _article(page):
     inner = re.search(r"<article>(.*?)(</article>|$)", re.sub(r"<[^>]*$", "", page or ""), re.S)
     parts = re.split(r"</?(?:p|h1)>", inner.group(1)) if inner else []
