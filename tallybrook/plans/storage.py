@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions import Addend, Span, spans
 from tallybrook.operators import join_shared_key, partition_count, physical_partitions, rows_per_partition, spread
+from tallybrook.operators.discovery import discover_fields, typed_documents
 from tallybrook.plans import tables
 from tallybrook.plans.tables import EXACT
 from tallybrook.scratch import scratch_folder
-from tallybrook.sinks import write_files, write_partitioned_json, write_two_formats
+from tallybrook.sinks import join_buckets, write_bucketed, write_files, write_partitioned_json, write_two_formats
 from tallybrook.sources import read_checked, read_files, read_partitioned_json
 
 PARTITIONS = 5
@@ -62,6 +63,43 @@ def json_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_shared_key(_round_trip(first, "json"), _round_trip(second, "json"), "id")
 
 
+#: Buckets of the given tables; large ones take their bytes over what suits a task.
+BUCKETS = 8
+
+
+def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two halves of ``json_dir_scan`` stored by buckets of their key and joined in place."""
+    names = []
+    for half in tables.flight_halves(spark, sf_dir):
+        path = scratch_folder(spark, "buckets")
+        names.append(path.rsplit("/", 1)[1].replace("-", "_"))
+        write_bucketed(half, names[-1], path, "id", BUCKETS)
+    return join_buckets(spark, *names, "id")
+
+
+def documents_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON documents of unlike fields, and the columns found for them.
+
+    ``big`` has 20 digits, ``mark`` is a number or a text, ``seldom`` stands in every 500th.
+    """
+    events = tables.table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    mark = F.when(F.col("event_id") % 2 == 0, number).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    more = [
+        F.lit(',"big":'), F.lpad(number, 20, "9"), F.lit(',"mark":'), mark,
+        F.when(F.col("event_id") % 500 == 0, F.lit(',"seldom":{"a":[1,null]}')).otherwise(""), F.lit("}"),
+    ]
+    text = F.concat(F.regexp_replace("props", r"\}\s*$", ""), *more)
+    docs = events.select("event_id", text.alias("value"))
+    fields = discover_fields(docs)
+    kinds = F.lit(", ".join(f"{field.name} {field.type.split('(')[0]}" for field in fields))
+    found = typed_documents(docs, fields)
+    return found.select(
+        "event_id", "k", F.col("big").cast("string").alias("big"), F.to_json("mark").alias("mark"),
+        F.col("rest")["seldom"].alias("seldom"), F.size("rest").alias("num_rest"), kinds.alias("kinds"),
+    )
+
+
 _FOLDERS = ["l_returnflag", "l_linestatus"]
 
 
@@ -235,6 +273,23 @@ ORACLES = {
     "csv_inferred": _CUSTOMERS_SQL,
     "json_inferred": _CUSTOMERS_SQL,
     "columnar_roundtrip": _ORDERS_SQL,
+    "join_bucketed": """
+        SELECT o_orderkey AS id, o_orderpriority AS DEST,
+               substr(o_orderpriority, 3, 20) AS DEST_CITY_NAME,
+               strftime(o_orderdate, '%-d/%-m/%Y') AS FL_DATE, o_custkey AS ORIGIN,
+               CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS CANCELLED
+        FROM orders
+    """,
+    "documents_typed": """
+        SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+               lpad(CAST(event_id AS VARCHAR), 20, '9') AS big,
+               CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR)
+                    ELSE '"' || event_type || '"' END AS mark,
+               CASE WHEN event_id % 500 = 0 THEN '{"a":[1,null]}' END AS seldom,
+               CASE WHEN event_id % 500 = 0 THEN 1 ELSE 0 END AS num_rest,
+               'big DECIMAL, k BIGINT, mark VARIANT' AS kinds
+        FROM events
+    """,
     "json_dir_scan": """
         SELECT o_orderkey AS id, o_orderpriority AS DEST,
                substr(o_orderpriority, 3, 20) AS DEST_CITY_NAME,
