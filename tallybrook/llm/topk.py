@@ -7,17 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import table
+from tallybrook.llm.shards import streamed
 from tallybrook.scratch import written
 
 K = 10
 SCALE = 1024
-#: A shard and a block of queries are what one task holds at a time.
+#: A shard and one batch of queries are what a task holds at a time.
 SHARD_ROWS = 8192
-BLOCK_QUERIES = 1024
 LEAF_ROWS = 64
 EVERY = 100
 
@@ -131,18 +132,36 @@ def _home(k: int, every: int):
     return search
 
 
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+
+
+def _points(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """The vectors of rows of one length, one below the other."""
+    column = rows.column("vector")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _shard_tree(shard: pa.Table) -> KdTree:
+    return KdTree.of(_points(shard), shard.column("id").to_numpy())
+
+
 def _everywhere(k: int):
-    def search(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    def answer(tree: KdTree, asked: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple[int, int, int]] = []
-        if len(shard) and len(asked):
-            tree = _tree(shard)
-            for own, vector, known in zip(asked["query_id"], asked["vector"], asked["known"], strict=True):
-                floor = None if pd.isna(known) else int(known)
-                best = tree.search(np.asarray(vector, np.int64), own, k, floor)
-                rows += [(own, found, score) for score, found in best]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+        owns, known = asked.column("id").to_pylist(), asked.column("known").to_pylist()
+        for own, vector, floor in zip(owns, _points(asked), known, strict=True):
+            rows += [(own, found, score) for score, found in tree.search(vector, own, k, floor)]
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], schema=_FOUND)
 
-    return search
+    return answer
+
+
+def _check_range(longest: int, most: float) -> None:
+    """Scores, and the bounds of boxes, are sums of that many products of such numbers."""
+    if longest * most * most >= 2.0**63:
+        raise ValueError(f"scores of {longest} components of up to {most:g} do not fit in 64 bits")
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -154,10 +173,17 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     a number that isn't finite take no part, nor do rows without an id; only vectors
     of one length are compared. Rows of the query's own id are never its results. A
     repeated candidate is found as often as it is there; of a repeated query the smallest
-    vector asks. Scores have to fit in 64 bits.
+    vector asks. It is an error if scores could leave 64 bits, by the longest vector and the
+    largest component.
+
+    A shard is moved to one task, which builds its tree once and has all queries streamed
+    through it, so the vectors that are shuffled don't grow with the queries.
     """
     numbers = written(integer_vectors(vectors).withColumn("dims", F.size("vector")), "vectors")
-    total = numbers.count()
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    total, longest, most = numbers.agg(F.count(F.lit(1)), F.max("dims"), F.max(largest)).first()
+    if total:
+        _check_range(longest, most)
     shards = max(1, -(-total // SHARD_ROWS))
     shard = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
     placed = numbers.withColumn("shard", shard)
@@ -166,17 +192,13 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     )
     asked = home.groupBy("query_id").agg(F.min(F.struct("vector", "known")).alias("q"))
     asked = written(asked.select("query_id", "q.*", F.size("q.vector").alias("dims")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    # Every block of queries meets every shard once: the query set against all rows.
-    left = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["dims", "shard", "block"]
-    found = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(_everywhere(k), "query_id long, vec_id long, score long")
-    )
+    # Every query meets every shard once: the query set against all rows.
+    each = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    held = placed.withColumnRenamed("vec_id", "id").withColumn("known", F.lit(None).cast("long"))
+    found = streamed(
+        held, each.withColumnRenamed("query_id", "id"), ["dims", "shard"], _shard_tree, _everywhere(k),
+        "query_id long, vec_id long, score long",
+    )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -153,6 +153,23 @@ def test_shards_draw_their_own_counts(spark):
     assert slots.select("shard", "slot").distinct().count() == slots.count()
 
 
+def test_scores_beyond_64_bits_are_an_error(spark):
+    for big in (1e300, 3e9):
+        df = spark.createDataFrame([(0, [1.0, 1.0]), (1, [big, 0.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(ValueError, match="64 bits"):
+            topk.top_k(df).collect()
+    df = spark.createDataFrame([(0, [1.0, 1.0]), (1, [2e6, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(row) for row in topk.top_k(df).collect()] == [(0, 1, 1, 1024 * 1024 * 2_000_000)]
+
+
+def test_vectors_move_once_however_many_queries_there_are(spark):
+    df = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding")
+    for every in (100, 1):
+        plan = topk.top_k(df, every=every)._jdf.queryExecution().toString()
+        plan = plan.split("== Physical Plan ==")[1]
+        assert plan.count("Generate explode") == 1 and "CoGroup" not in plan
+
+
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var a="<p>x</p>";</script></head>
 <body class="with-sidebar"><header><a href=/>Home</a> <a href=/b>Blog</a></header>
 <nav><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></nav><div class="ad">Buy now, it is very cheap today.</div>
