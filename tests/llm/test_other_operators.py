@@ -37,7 +37,7 @@ def test_items_are_found_with_other_values(spark):
     items = [(10, ITEM), (11, "five words are enough here"), (12, "too short"), (13, None), (14, ""), (None, ITEM)]
     found = _leaks(spark, texts, items)
     assert found[1, 10] == 0 and found[2, 10] == 3
-    # The copy in capitals as well; document 8 has two of the item's words too few.
+    # The copy in capitals as well; document 8 breaks off within the item.
     assert set(found) == {(1, 10), (2, 10), (9, 10)} and found[9, 10] == 0
     assert _leaks(spark, [(1, "So. Five words, are enough here!")], items) == {(1, 11): 0}
     assert _leaks(spark, [(1, "It is TOO short!")], items) == {(1, 12): 0}
