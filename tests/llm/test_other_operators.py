@@ -60,6 +60,39 @@ def test_items_are_found_in_any_case(spark):
     assert found == {(1, 10): 0, (2, 10): 0, (3, 10): 0, (4, 10): 2, (5, 10): 0, (7, 10): 1}
 
 
+def test_search_without_a_broadcast_moves_no_texts(spark):
+    texts = [(i, f"{i} people said so. " * 40 + (ITEM if i % 3 == 0 else "Nothing else.")) for i in range(30)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(10, ITEM), (11, "five words are enough here")], "item_id long, text string")
+    usual = decontamination.leaks(documents, benchmark).collect()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontamination.leaks(documents, benchmark)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(found.collect()) == sorted(usual)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {row.doc_id for row in usual} == {i for i in range(30) if i % 3 == 0}
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    below = plan.splitlines()[plan.splitlines().index(join) + 1 :]
+    moved = next(line for line in below if "Project [" in line)
+    assert "words" not in moved.split("AS found")[-1] and "hashes" not in moved.split("AS found")[-1]
+
+
+@pytest.mark.parametrize("most", [2**10, 2**4])
+def test_sieve_loses_no_key(spark, monkeypatch, most):
+    monkeypatch.setattr(decontamination, "_LEAST_SIEVE", 2**4)
+    monkeypatch.setattr(decontamination, "_MOST_SIEVE", most)
+    keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
+    passes = decontamination._sieve(keys, 5000)
+    assert keys.filter(passes(F.col("key"))).count() == 5000
+    others = spark.range(5000, 25000).select(F.xxhash64("id").alias("key"))
+    assert others.filter(passes(F.col("key"))).count() < (2000 if most == 2**10 else 20001)
+    none = decontamination._sieve(keys.limit(0), 0)
+    assert others.filter(none(F.col("key"))).count() == 0
+
+
 def test_items_of_placeholders_or_few_words_are_found_verbatim(spark):
     table, names, sums = "1 2 3 4 5 6 7 8 9 10 11 12", "Anna Berta Carla Dora Emil Fritz Gustav Hans Ida", "12 + 30 = 42"
     few = [(1, table), (2, names), (3, sums), (4, "Answer is Paris"), (5, None), (6, " ")]
