@@ -1,9 +1,9 @@
 """Join of documents by the Jaccard similarity of their word shingles.
 
 The document by shingle incidence matrix is multiplied with its transpose in
-blocks: a block is what one shingle contributes. Bounds from the sizes of the sets
-say which shingles of a document have to be multiplied at all, and which pairs can
-reach the threshold.
+blocks: a block is what one shingle contributes to the overlaps of pairs. Bounds from the
+sizes of the sets say which shingles of a document have to be multiplied at all, and
+which sums of overlaps can still reach the threshold; these pairs are then read whole.
 """
 
 from __future__ import annotations
@@ -208,10 +208,14 @@ def _star_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def _open_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a block that the bounds leave and that aren't joined up yet.
-
-    Sets that reach the threshold differ in at most n + m - 2 * (overlap that is
-    needed) shingles, and so do their sketches in bits.
+    """Pairs of sets whose summed overlap can reach the threshold, of those not joined up yet.
+
+    Each block adds one to the overlap of its pairs. Shared shingles stand in the same order
+    in both sets and all those up to the last that was counted are in the index, so the
+    overlap is at most the sum and what either set has left after that one. Pairs
+    for which this is less than the overlap that their sizes ask for are dropped. Blocks in
+    one component have none of these pairs. Sets that reach the threshold differ in at most
+    n + m - 2 * (overlap that is needed) shingles, and so do their sketches in bits.
     """
     mixed = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     left = rows.join(mixed.select("key"), "key", "left_semi").join(sketches, "node")
@@ -219,18 +223,26 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     small = left.filter("stored").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
     large = left.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
     n, m = F.col("n_a"), F.col("n_b")
-    # Overlap that is needed, and the most that is left from this shingle on.
-    needed = F.ceil(percent * (n + m) / (100 + percent))
-    most = F.least(n - F.col("pos_a"), m - F.col("pos_b"))
+    # Rules of the pair alone: a pair meets them in all of its blocks or in none.
     rule = (
         (F.col("component_a") != F.col("component_b"))
         & ((n < m) | ((n == m) & (F.col("node_a") < F.col("node_b"))))
         & (100 * n >= percent * m)
-        & (most >= needed)
         & (_differing(F.col("parity_a"), F.col("parity_b")) <= _allowed(n, m, percent))
     )
-    pairs = small.join(large, "key").filter(rule)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    pairs = small.join(large, "key").filter(rule).select(
+        F.col("node_a").alias("a"),
+        F.col("node_b").alias("b"),
+        F.ceil(percent * (n + m) / (100 + percent)).alias("needed"),
+        (n - F.col("pos_a") - 1).alias("rest_a"),
+        (m - F.col("pos_b") - 1).alias("rest_b"),
+    )
+    sums = pairs.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("overlap"),
+        F.first("needed").alias("needed"),
+        F.least(F.min("rest_a"), F.min("rest_b")).alias("rest"),
+    )
+    return sums.filter("overlap + rest >= needed").select("a", "b")
 
 
 def similar_documents(
