@@ -80,6 +80,24 @@ def test_search_without_a_broadcast_moves_no_texts(spark):
     assert "words" not in moved.split("AS found")[-1] and "hashes" not in moved.split("AS found")[-1]
 
 
+def test_texts_are_read_once_for_windows_of_all_sizes(spark):
+    words = ITEM.split()
+    benchmark = spark.createDataFrame([(size, " ".join(words[:size])) for size in range(1, 10)], "item_id long, text string")
+    texts = [(size, f"So. {' '.join(words[:size])}") for size in range(10)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontamination.leaks(documents, benchmark)
+    # One of the two windows of an item of 9 words is not enough.
+    places = {(doc, item) for doc in range(10) for item in range(1, doc + 1)}
+    assert {(row.doc_id, row.item_id) for row in found.collect()} == places
+
+    plans = {"documents": found, "benchmark": decontamination.item_windows(benchmark, True)}
+    plans = {name: frame._jdf.queryExecution().optimizedPlan().toString().splitlines() for name, frame in plans.items()}
+    cuts = {name: sum("Generate explode(" in line and "sequence(" in line for line in plan) for name, plan in plans.items()}
+    # Items once more for their counts.
+    assert cuts["documents"] == 1 and cuts["benchmark"] <= 2
+    assert not any("Filter" in line and ("regexp_replace(" in line or "split(" in line) for plan in plans.values() for line in plan)
+
+
 @pytest.mark.parametrize("most", [2**10, 2**4])
 def test_sieve_loses_no_key(spark, monkeypatch, most):
     monkeypatch.setattr(decontamination, "_LEAST_SIEVE", 2**4)
