@@ -98,6 +98,16 @@ def test_texts_are_read_once_for_windows_of_all_sizes(spark):
     assert not any("Filter" in line and ("regexp_replace(" in line or "split(" in line) for plan in plans.values() for line in plan)
 
 
+def test_the_key_of_a_window_is_made_once(spark):
+    documents = spark.createDataFrame([(1, f"So. {ITEM}")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    found = decontamination.leaks(documents, benchmark)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("explode(array(xxhash64(" in line for line in plan) == 1
+    assert not any("Filter" in line and "xxhash64(" in line for line in plan)
+    assert [row.doc_id for row in found.collect()] == [1]
+
+
 @pytest.mark.parametrize("most", [2**10, 2**4])
 def test_sieve_loses_no_key(spark, monkeypatch, most):
     monkeypatch.setattr(decontamination, "_LEAST_SIEVE", 2**4)
